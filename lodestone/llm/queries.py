@@ -9,23 +9,63 @@ from pyspark.sql import functions as F
 
 from ..session import load
 from . import sql
+from .decontaminate import find_contamination
 from .line_dedup import drop_shared_lines
+from .pieces import encode_decode
+from .token_shards import token_shards
 from .url_filter import filter_urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def tokenizer(name: str) -> str:
+    """A public tokenizer's file, which every machine has at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_shards(load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_shared_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_contamination(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode(load(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
+    return out.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_shards": op3_token_shards,
     "op4_line_dedup": op4_line_dedup,
+    "op5_decontaminate": op5_decontaminate,
+    "op8_pieces": op8_pieces,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op10_url_filter": sql.URL_FILTER}
+ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op10_url_filter": sql.URL_FILTER}

@@ -32,3 +32,23 @@ best AS (
   FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
 SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.action, 'allow') AS verdict FROM parts p LEFT JOIN best b USING (page_id)
 """
+
+DECONTAMINATE = rf"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+  WHERE text IS NOT NULL AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+docs AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n),
+found AS (SELECT g.doc_id, g.i, g.n, w.item FROM grams g JOIN windows w USING (n, win)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
