@@ -11,6 +11,7 @@ from ..session import load
 from . import sql
 from .decontaminate import find_contamination
 from .line_dedup import drop_shared_lines
+from .near_dedup import near_duplicates
 from .pieces import encode_decode
 from .token_shards import token_shards
 from .url_filter import filter_urls
@@ -57,6 +58,10 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op8_pieces": op8_pieces,
+    "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op10_url_filter": sql.URL_FILTER}
+ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op9_near_dedup": sql.NEAR_DEDUP, "op10_url_filter": sql.URL_FILTER}
