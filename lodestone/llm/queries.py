@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load
-from . import sql
+from . import quality, sql, toxicity
 from .decontaminate import find_contamination
+from .features import fold
 from .line_dedup import drop_shared_lines
 from .near_dedup import near_duplicates
 from .pieces import encode_decode
@@ -19,6 +20,18 @@ from .url_filter import filter_urls
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, load(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, load(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def tokenizer(name: str) -> str:
     """A public tokenizer's file, which every machine has at the same place."""
     import public_tokenizers
@@ -67,6 +80,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_token_shards": op3_token_shards,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
