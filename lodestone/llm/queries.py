@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import load
 from . import quality, sql, toxicity
 from .decontaminate import find_contamination
+from .embedding_dedup import near_vectors
 from .features import fold
 from .line_dedup import drop_shared_lines
 from .near_dedup import near_duplicates
@@ -61,6 +62,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_decode(load(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
     return out.select(
@@ -85,8 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_shards": op3_token_shards,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_pieces": op8_pieces,
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op9_near_dedup": sql.NEAR_DEDUP, "op10_url_filter": sql.URL_FILTER}
+ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op7_embedding_dedup": sql.EMBEDDING_DEDUP, "op9_near_dedup": sql.NEAR_DEDUP, "op10_url_filter": sql.URL_FILTER}

@@ -70,3 +70,19 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc
        w.doc_id = least(w.doc_id, coalesce(m, w.doc_id)) AS kept
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN least_of l ON l.a = w.doc_id
 """
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE sound AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+reach(a, b) AS (SELECT DISTINCT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(m, v.vec_id)) AS kept
+FROM embeddings v LEFT JOIN counts c ON c.a = v.vec_id LEFT JOIN least_of l ON l.a = v.vec_id
+"""
