@@ -15,6 +15,7 @@ from .features import fold
 from .line_dedup import drop_shared_lines
 from .near_dedup import near_duplicates
 from .pieces import encode_decode
+from .pii import pseudonymise
 from .token_shards import token_shards
 from .url_filter import filter_urls
 
@@ -62,6 +63,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(load(spark, sf_dir, "documents").select("doc_id", "text"), "lodestone")
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(load(spark, sf_dir, "embeddings"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_shards": op3_token_shards,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_pii": op6_pii,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_pieces": op8_pieces,
     "op9_near_dedup": op9_near_dedup,
