@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,13 @@ from .wordstore import WordStore, small_slices
 PIECE = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
 #: White space other than these two may join a run with them; such a text is one piece.
 OTHER_SPACE = re.compile(r"[^\S \n]")
+#: The pre-tokenisation of byte-level BPE (fixed value), used on Latin text alone, where all Unicode versions agree.
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: A word, with a space before it or none; no line breaks.
+LATIN = re.compile(" ?[!-~¡-¬®-ɏ]+")
+#: Byte-level BPE writes a byte as a character: printable Latin-1 as it is, the others from U+0100 on in order.
+PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_CHARS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 #: Partitions whose totals (16 bytes each) may be broadcast.
 BROADCAST_PARTITIONS = 200_000
 
@@ -48,10 +56,36 @@ def store_of(path: str) -> tuple[WordStore, int]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    model, newline = tokenizer.model, BYTE_CHARS[10]
+
+    def encode_tokens(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pre-tokens by the library's BPE model; a line break, which parts pieces below, has no ids here."""
+        written = "\n".join(tokens).encode().decode("latin-1").translate(BYTE_CHARS).split(chr(newline))
+        if "\n" in tokens:
+            written = ["" if t == "\n" else t.encode().decode("latin-1").translate(BYTE_CHARS) for t in tokens]
+        found = [[t.id for t in model.tokenize(w)] for w in written]
         return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
 
+    inner = WordStore(encode_tokens)
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces: Latin ones by their pre-tokens, each encoded once; others, and white space, one by one as they are."""
+        plain = np.fromiter((bool(LATIN.fullmatch(w)) for w in words), bool, len(words))
+        counts = np.zeros(len(words), np.int64)
+        found = np.empty(0, np.uint32)
+        if plain.any():
+            tokens = PRE_TOKEN.findall("\n".join(w for w, p in zip(words, plain, strict=True) if p)) + ["\n"]
+            found, n = inner.flat(tokens)
+            breaks = np.flatnonzero(np.fromiter((t == "\n" for t in tokens), bool, len(tokens)))
+            counts[plain] = np.diff(np.append(0, np.cumsum(n))[breaks], prepend=0)
+        rest = [(i, tokenizer.encode(words[i], add_special_tokens=False).ids) for i in np.flatnonzero(~plain).tolist()]
+        for i, ids in rest:
+            counts[i] = len(ids)
+        out, own = np.empty(counts.sum(), np.uint32), np.repeat(plain, counts)
+        out[own] = found
+        out[~own] = [i for _, ids in rest for i in ids]
+        return out, counts
+
     return WordStore(encode), tokenizer.get_vocab_size()
 
 

@@ -9,31 +9,48 @@ import pyarrow as pa
 
 
 class WordStore:
-    """encode: gives a list of pieces' ids, flat, and how many each has. Over the limits the store starts anew."""
+    """Ids of the pieces met so far. Over its limit it keeps only the pieces that were met several times.
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], words: int = 300_000, ids: int = 4_000_000):
-        self.encode, self.limits = encode, (words, ids)
-        self._clear()
+    encode gives a list of pieces' ids, flat, and how many each has.
+    """
 
-    def _clear(self) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], words: int = 400_000):
+        self.encode, self.limit = encode, words
         self.at: dict[str, int] = {}
-        self.ids, self.starts, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.starts, self.counts, self.hits = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def texts(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, flat, and how many each text has; a text is a list of pieces."""
-        flat = [p for text in pieces for p in text]
-        if len(self.at) > self.limits[0] or len(self.ids) > self.limits[1]:
-            self._clear()
-        new = [p for p in dict.fromkeys(flat) if p not in self.at]
+    def gather(self, which: np.ndarray) -> np.ndarray:
+        counts = self.counts[which]
+        return self.ids[np.repeat(self.starts[which] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
+
+    def _shrink(self) -> None:
+        stay = self.hits > 2
+        if 2 * stay.sum() > self.limit:
+            stay[:] = False
+        kept = np.flatnonzero(stay)
+        names = list(self.at)
+        self.at = {names[i]: n for n, i in enumerate(kept.tolist())}
+        self.ids, self.counts, self.hits = self.gather(kept), self.counts[kept], np.zeros(len(kept), np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def flat(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, flat, and how many each has."""
+        if len(self.at) > self.limit:
+            self._shrink()
+        new = list(set(pieces).difference(self.at))
         if new:
             ids, counts = self.encode(new)
             self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
             self.starts = np.append(self.starts, len(self.ids) + np.cumsum(counts) - counts)
             self.counts, self.ids = np.append(self.counts, counts), np.append(self.ids, ids)
-        which = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
-        counts = self.counts[which]
-        before = np.cumsum(counts) - counts
-        ids = self.ids[np.repeat(self.starts[which] - before, counts) + np.arange(counts.sum())]
+            self.hits = np.append(self.hits, np.zeros(len(new), np.int64))
+        which = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
+        self.hits += np.bincount(which, minlength=len(self.hits))
+        return self.gather(which), self.counts[which]
+
+    def texts(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, flat, and how many each text has; a text is a list of pieces."""
+        ids, counts = self.flat([p for text in pieces for p in text])
         ends = np.append(0, np.cumsum(counts))[np.cumsum([len(t) for t in pieces], dtype=np.int64)]
         return ids, np.diff(ends, prepend=0)
 
