@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import market
+
 FLAGSHIP = "q4_daily_features"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES = {**market.QUERIES}
+ORACLES = {**market.ORACLES}
