@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import market
+from . import campaigns, market
 
 FLAGSHIP = "q4_daily_features"
-QUERIES = {**market.QUERIES}
-ORACLES = {**market.ORACLES}
+QUERIES = {**market.QUERIES, **campaigns.QUERIES}
+ORACLES = {**market.ORACLES, **campaigns.ORACLES}
