@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import campaigns, market
+from . import campaigns, events, market
 
 FLAGSHIP = "q4_daily_features"
-QUERIES = {**market.QUERIES, **campaigns.QUERIES}
-ORACLES = {**market.ORACLES, **campaigns.ORACLES}
+QUERIES = {**market.QUERIES, **campaigns.QUERIES, **events.QUERIES}
+ORACLES = {**market.ORACLES, **campaigns.ORACLES, **events.ORACLES}
