@@ -10,8 +10,8 @@ rejects pairs that differ in more than 22 bits (at similarity 0.75: probability
 Buckets are never expanded into all pairs. Documents with equal sets are one class from the start. Each
 bucket's members are first held against three pivots of the bucket, confirmed links give components, and only
 buckets with members of several components are looked at again: members that hold too many shingles that no
-other remaining document has can link with nothing, and the others are joined across components under bounds
-on the intersection. So no link between components is lost, and links inside one need not be listed.
+other remaining document has can link with nothing, and the others are compared across components, block by
+block, under bounds on the intersection. So no link between components is lost, and links inside one need not be listed.
 
 Defined cases: a null or empty text, or one of white space, has an empty set and links with nothing; fewer
 words than a shingle make one shingle; rows with a null id link with nothing and are kept; rows that repeat
@@ -202,14 +202,93 @@ def linked_classes(links: NearLinks) -> DataFrame:
     alone = holders.groupBy("s").agg(F.count("*").alias("c"), F.min("rep").alias("rep")).filter("c = 1").groupBy("rep").agg(F.count("*").alias("alone"))
     members = open_.join(alone, "rep", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
     members = materialise(members.filter(F.col("common") * 100 >= F.col("n") * links.percent).drop("alone"), "members")
-    x, y = members.filter("component > main").alias("x"), members.alias("y")
-    most = F.least("x.common", "y.common")
-    fits = (
-        (F.col("x.tag") == F.col("y.tag")) & (F.col("x.part") == F.col("y.part")) & (F.col("y.component") < F.col("x.component"))
-        & near("x.sketch", "y.sketch") & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * links.percent)
+    return components(edges.unionByName(links_across(links, members)))
+
+
+def bucket_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by key, cut so that no key's rows are parted."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        key = held.column("key").to_numpy()
+        cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+        if cut:
+            yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def candidates(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of one bucket that are of several components and may be similar enough, each pair in one bucket alone.
+
+    A pair that meets in several buckets is looked at in the one of its first chunk with at most one differing value.
+    """
+    column = lambda c: table.column(c).to_numpy()
+    key, n, common, side, tag = (column(c) for c in ("key", "n", "common", "side", "tag"))
+    sketch, one_block = column("sketch").view(np.uint64), column("one_block")
+    component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+    values = np.stack([np.asarray(x, "<i8") for x in table.column("signature").to_numpy()]).view("<u2")
+    end = np.searchsorted(key, key, side="right")
+    i = np.arange(len(key))
+    for step in range(1, len(key)):
+        i = i[i + step < end[i]]
+        if not len(i):
+            return
+        j = i + step
+        most = np.minimum(common[i], common[j])
+        fits = (component[i] != component[j]) & (one_block[i] | (side[i] != side[j])) & (most * 100 >= (n[i] + n[j] - most) * percent)
+        fits &= np.bitwise_count(sketch[i] ^ sketch[j]) <= MAX_BITS
+        a, b = i[fits], j[fits]
+        if len(a):
+            differ = (values[a] != values[b]).reshape(len(a), CHUNKS, 4)
+            few = differ.sum(axis=2) <= 1
+            chunk = few.argmax(axis=1)
+            out = differ[np.arange(len(a)), chunk].argmax(axis=1)
+            own = (differ.sum(axis=(1, 2)) <= MAX_DIFFERENT) & (chunk * 4 + out == tag[a])
+            yield a[own], b[own]
+
+
+def links_across(links: NearLinks, members: DataFrame, block: int = 512) -> DataFrame:
+    """Links (a, b) between members of one bucket but of several components.
+
+    Buckets over the block size are split, and each pair of blocks is a group of its own. A first pass keeps the rows
+    that have a candidate; only these are given their full sets, and a second pass confirms.
+    """
+    percent, id_type = links.percent, links.id_type
+    sizes = members.groupBy("tag", "part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = members.join(sizes, ["tag", "part"]).join(links.classes.select("rep", "n", "signature"), ["rep", "n"])
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    rows = rows.select(
+        F.xxhash64("tag", "part", low, high).alias("key"), (F.col("own") == F.col("other")).alias("one_block"), F.col("own").alias("side"),
+        "tag", "rep", "n", "common", "sketch", "component", "signature",
     )
-    across = x.join(y, fits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    return components(edges.unionByName(links.confirmed(across)))
+    by_key = lambda df: df.repartition("key").sortWithinPartitions("key", "rep")
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in bucket_runs(batches):
+            stay = np.zeros(table.num_rows, bool)
+            for i, j in candidates(table, percent):
+                stay[i] = stay[j] = True
+            yield from table.filter(pa.array(stay)).to_batches()
+
+    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in bucket_runs(batches):
+            sets = table.column("shingles").to_numpy()
+            found = []
+            for i, j in candidates(table, percent):
+                for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                    shared = np.intersect1d(sets[a], sets[b], assume_unique=True).size
+                    if shared * 100 >= (len(sets[a]) + len(sets[b]) - shared) * percent:
+                        found.append((a, b))
+            ends = [table.column("rep").take(pa.array([f[k] for f in found], pa.int64())).combine_chunks() for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([e.chunk(0) if isinstance(e, pa.ChunkedArray) else e for e in ends], names=["a", "b"])
+
+    kept = materialise(by_key(rows).mapInArrow(promising, rows.schema), "promising")
+    with_sets = kept.join(materialise(links.shingles(kept), "shingles"), "rep")
+    return by_key(with_sets).mapInArrow(confirmed, f"a {id_type}, b {id_type}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, shingle: int = 5) -> DataFrame:
