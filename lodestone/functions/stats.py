@@ -30,9 +30,9 @@ def trade_metrics(net: Column) -> dict[str, Column]:
 
 
 def summarise(df: DataFrame, keys: list[str], net: str, digits: int = 6) -> DataFrame:
-    """trade_metrics by keys, rounded so that the order of summation does not show."""
+    """trade_metrics by keys, rounded so that the order of summation does not show (and without negative zeros)."""
     parts = trade_metrics(F.col(net))
-    return df.groupBy(*keys).agg(*[(v if k == "trades" else F.round(v, digits)).alias(k) for k, v in parts.items()])
+    return df.groupBy(*keys).agg(*[(v if k == "trades" else F.round(v, digits) + F.lit(0.0)).alias(k) for k, v in parts.items()])
 
 
 def equity(df: DataFrame, keys: list[str], order: list[str], net: str) -> DataFrame:

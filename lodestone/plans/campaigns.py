@@ -23,7 +23,7 @@ MET = {
 
 
 def metrics_sql(net: str) -> str:
-    return f"count({net}) AS trades, " + ", ".join(f"round({v.format(n=net)}, 6) AS {k}" for k, v in MET.items())
+    return f"count({net}) AS trades, " + ", ".join(f"round({v.format(n=net)}, 6) + 0.0 AS {k}" for k, v in MET.items())
 
 
 def _network(spark: SparkSession, sf_dir: str, lookback: int) -> DataFrame:
@@ -198,13 +198,13 @@ def q8_pair_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     met = x.join(F.broadcast(bands), (F.abs("div") >= F.col("lo")) & (F.col("hi").isNull() | (F.abs("div") < F.col("hi"))))
     met = met.withColumn("style", F.explode(F.array(F.lit(1), F.lit(-1)))).withColumn("net", F.col("style") * F.signum("div") * F.col("spread") - 0.005)
     m = trade_metrics(F.col("net"))
-    return met.groupBy("signal", "exit", "l_returnflag", "band", "style", "year").agg(F.count("*").alias("n"), *[R(m[k]).alias(k) for k in ("avg_net", "median_net", "win_rate", "worst", "best")])
+    return met.groupBy("signal", "exit", "l_returnflag", "band", "style", "year").agg(F.count("*").alias("n"), *[(R(m[k]) + F.lit(0.0)).alias(k) for k in ("avg_net", "median_net", "win_rate", "worst", "best")])
 
 
 PAIR = f"""{LEDGER}, {BANDS_SQL}, x AS (SELECT year(day) AS year, l_returnflag, signal, CASE signal WHEN 'gross' THEN gross ELSE gross / 2 END AS div, exit, CASE exit WHEN 'near' THEN l_quantity / 1000 ELSE l_quantity / 1000 - 0.02 END AS spread, style
   FROM led CROSS JOIN (VALUES ('gross'), ('half')) a(signal) CROSS JOIN (VALUES ('near'), ('far')) b(exit) CROSS JOIN (VALUES (1), (-1)) c(style)),
 y AS (SELECT signal, exit, l_returnflag, band, style, year, style * sign(div) * spread - 0.005 AS net FROM x JOIN bands ON abs(div) >= lo AND (hi IS NULL OR abs(div) < hi)),
-years AS (SELECT signal, exit, l_returnflag, band, style, year, count(*) AS n, {', '.join(f'round({MET[k].format(n="net")}, 6) AS {k}' for k in ('avg_net', 'median_net', 'win_rate', 'worst', 'best'))} FROM y GROUP BY signal, exit, l_returnflag, band, style, year)"""
+years AS (SELECT signal, exit, l_returnflag, band, style, year, count(*) AS n, {', '.join(f'round({MET[k].format(n="net")}, 6) + 0.0 AS {k}' for k in ('avg_net', 'median_net', 'win_rate', 'worst', 'best'))} FROM y GROUP BY signal, exit, l_returnflag, band, style, year)"""
 Q8 = f"WITH {PAIR} SELECT * FROM years"
 
 
@@ -237,7 +237,7 @@ def q16_pair_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ticks(spark, sf_dir).withColumn("day", F.col("ts").cast("date")).withColumn("half", F.when(F.hour("ts") < 12, "am").otherwise("pm"))
     mean = lambda s, h: F.avg(F.when((F.col("symbol") == s) & (F.col("half") == h), F.col("price")))
     p = t.groupBy("day").agg(*[mean(s, h).alias(f"{s}_{h}") for s in ("click", "view", "error") for h in ("am", "pm")])
-    change = lambda s: F.round((F.col(f"{s}_pm") / F.nullif(F.col(f"{s}_am"), F.lit(0.0)) - 1) * 100, 8)
+    change = lambda s: F.round((F.col(f"{s}_pm") / F.nullif(F.col(f"{s}_am"), F.lit(0.0)) - 1) * 100, 5)
     x = p.select("day", change("click").alias("a"), change("view").alias("b"), change("error").alias("ctx")).withColumn("div", F.col("a") - F.col("b"))
     context = F.when(F.col("ctx") < -2.5, "strong_down").when(F.col("ctx") < -1, "down").when(F.col("ctx") <= 1, "flat").when(F.col("ctx") <= 2.5, "up").otherwise("strong_up")
     nxt = F.lead("div").over(Window.orderBy("day"))
@@ -248,7 +248,7 @@ def q16_pair_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q16P = f"""WITH {TICKS}, t AS (SELECT *, CAST(ts AS DATE) AS day, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS half FROM ticks), p AS (SELECT day, {', '.join(f"avg(price) FILTER (WHERE symbol = '{s}' AND half = '{h}') AS {s}_{h}" for s in ('click', 'view', 'error') for h in ('am', 'pm'))} FROM t GROUP BY 1),
-x AS (SELECT day, {', '.join(f'round(({s}_pm / nullif({s}_am, 0) - 1) * 100, 8) AS {n}' for s, n in (('click', 'a'), ('view', 'b'), ('error', 'ctx')))} FROM p), y AS (SELECT *, a - b AS div, 0.5 * lead(a - b) OVER (ORDER BY day) AS spread, abs(a - b) >= 0.5 AS triggered FROM x),
+x AS (SELECT day, {', '.join(f'round(({s}_pm / nullif({s}_am, 0) - 1) * 100, 5) AS {n}' for s, n in (('click', 'a'), ('view', 'b'), ('error', 'ctx')))} FROM p), y AS (SELECT *, a - b AS div, 0.5 * lead(a - b) OVER (ORDER BY day) AS spread, abs(a - b) >= 0.5 AS triggered FROM x),
 z AS (SELECT *, CASE WHEN triggered THEN -sign(div) * spread END AS gross FROM y)
 SELECT day, CASE WHEN ctx < -2.5 THEN 'strong_down' WHEN ctx < -1 THEN 'down' WHEN ctx <= 1 THEN 'flat' WHEN ctx <= 2.5 THEN 'up' ELSE 'strong_up' END AS context, triggered, round(div, 6) AS div,
  CASE WHEN div IS NULL THEN 'MISSING_SIGNAL' WHEN triggered AND spread IS NULL THEN 'MISSING_EXIT' END AS excluded, round(gross, 6) AS gross, round(gross - 0.05, 6) AS net_5, round(gross - 0.075, 6) AS net_7_5, round(gross - 0.1, 6) AS net_10 FROM z"""

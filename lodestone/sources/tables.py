@@ -22,13 +22,17 @@ def read_bar_pages(spark: SparkSession, path: str) -> DataFrame:
     return bars.select("symbol", ts.alias("bar_ts"), F.col("b.o").alias("open"), F.col("b.h").alias("high"), F.col("b.l").alias("low"), F.col("b.c").alias("close"), F.col("b.v").cast("long").alias("volume"), F.col("b.n").alias("trade_count"), F.col("b.vw").alias("vwap"))
 
 
+#: Microseconds, which the default format of CSV files would cut to milliseconds.
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def stage_csv(df: DataFrame, path: str) -> None:
     """Staging area: gzip CSV with a header."""
-    df.write.mode("overwrite").option("compression", "gzip").option("header", True).csv(path)
+    df.write.mode("overwrite").option("compression", "gzip").option("header", True).option("timestampNTZFormat", STAMP).csv(path)
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("timestampNTZFormat", STAMP).csv(path)
 
 
 def write_monthly(df: DataFrame, path: str, ts: str = "bar_ts") -> None:
