@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import campaigns, events, market, reports
+from . import campaigns, events, market, reports, scanner
 
 FLAGSHIP = "q4_daily_features"
-QUERIES = {**market.QUERIES, **campaigns.QUERIES, **events.QUERIES, **reports.QUERIES}
-ORACLES = {**market.ORACLES, **campaigns.ORACLES, **events.ORACLES, **reports.ORACLES}
+QUERIES = {**market.QUERIES, **campaigns.QUERIES, **events.QUERIES, **reports.QUERIES, **scanner.QUERIES}
+ORACLES = {**market.ORACLES, **campaigns.ORACLES, **events.ORACLES, **reports.ORACLES, **scanner.ORACLES}
