@@ -15,14 +15,14 @@ from pyspark.sql import types as T
 from .common import without
 
 WORD = re.compile(r"\w+")
-RUNS = ((re.compile(r"[^\W\d_]*[a-zß-öø-ÿ][^\W\d_]*"), "a"), (re.compile(r"[^\W\d_a]+"), "A"), (re.compile(r"\d+"), "0"))
+RUN = re.compile(r"[^\W\d_]+|\d+|[\W_]+")
 WORD_SPACE, SHAPE_SPACE, SHAPES = 1 << 20, 1 << 18, 1 << 9
 
 
 class TokenTable(dict):
     """Numbers of the white-space tokens met so far and each one's features (an array)."""
 
-    def __init__(self, features: Callable[[str], np.ndarray], limit: int = 400_000):
+    def __init__(self, features: Callable[[str], np.ndarray], limit: int = 100_000):
         super().__init__()
         self.features, self.limit, self.rows = features, limit, []
 
@@ -38,19 +38,19 @@ class TokenTable(dict):
         return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
 
-def word_features(token: str) -> np.ndarray:
-    """Each word of the token, and its first 3, 4 and 5 letters, so that unseen endings still tell."""
+def word_features(token: str) -> list[int]:
+    """Each word of the token, and its first 3, 4 and 5 bytes, so that unseen endings still tell."""
     out = []
     for word in WORD.findall(token.lower()):
-        out += [f"={word}", *(f"{word[:k]}*" for k in (3, 4, 5) if len(word) >= k)]
-    return np.array([crc32(x.encode("utf-8", "surrogatepass")) % WORD_SPACE for x in out], np.int64)
+        w = word.encode("utf-8", "surrogatepass")
+        out += [crc32(w) % WORD_SPACE, *(crc32(w[:k], k) % WORD_SPACE for k in (3, 4, 5) if len(w) >= k)]
+    return out
 
 
-def shape_of(token: str) -> np.ndarray:
+def shape_of(token: str) -> int:
     """The token's shape as one number: letters by case, digits, and its other characters as they are."""
-    for pattern, mark in RUNS:
-        token = pattern.sub(mark, token[:64])
-    return np.array([1 + crc32(token[:6].encode("utf-8", "surrogatepass")) % (SHAPES - 1)], np.int64)
+    marks = (("a" if run != run.upper() else "A") if run[0].isalpha() else "0" if run[0].isdigit() else run for run in RUN.findall(token[:64]))
+    return 1 + crc32("".join(marks)[:6].encode("utf-8", "surrogatepass")) % (SHAPES - 1)
 
 
 class WordIndicators:
@@ -59,7 +59,7 @@ class WordIndicators:
     size = WORD_SPACE
 
     def __init__(self):
-        self.table = TokenTable(word_features)
+        self.table = TokenTable(lambda token: np.array(word_features(token), np.int64))
 
     def __call__(self, text: str | None) -> np.ndarray:
         numbers = np.unique(self.table.numbers((text or "").split()))
@@ -72,20 +72,22 @@ class ShapeNgrams:
     size = SHAPE_SPACE + WORD_SPACE
 
     def __init__(self):
-        self.shapes, self.words = TokenTable(shape_of), WordIndicators()
+        self.table = TokenTable(lambda token: np.array([shape_of(token), *word_features(token)], np.int64))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        tokens = (text or "").split()
-        if not tokens:
+        numbers = self.table.numbers((text or "").split())
+        if not len(numbers):
             return np.empty(0, np.int64)
-        numbers = self.shapes.numbers(tokens)
-        shape = np.array([r[0] for r in self.shapes.rows], np.int64)[numbers] if len(self.shapes.rows) < 4 * len(tokens) else np.array([self.shapes.rows[i][0] for i in numbers], np.int64)
+        kinds, which = np.unique(numbers, return_inverse=True)
+        rows = [self.table.rows[i] for i in kinds]
+        shape = np.array([r[0] for r in rows], np.int64)[which]
         shape[1:][numbers[1:] == numbers[:-1]] = 0
         grams = [shape]
         for n in (2, 3):
             grams.append((grams[-1][:-1] * SHAPES + shape[n - 1 :]) if len(grams[-1]) > 1 else shape[:0])
         flat = np.unique(np.concatenate([g * 3 + i for i, g in enumerate(grams)]))
-        return np.concatenate((np.unique((flat * 0x9E3779B1 >> 7) % SHAPE_SPACE), SHAPE_SPACE + self.words(text)))
+        words = np.unique(np.concatenate([r[1:] for r in rows]))
+        return np.concatenate((np.unique((flat * 0x9E3779B1 >> 7) % SHAPE_SPACE), SHAPE_SPACE + words))
 
 
 def fold(id_col: Column, folds: int) -> Column:
@@ -135,14 +137,23 @@ class Sparse:
         number[self.columns] = np.arange(len(self.columns))
         owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
         flat = number[flat]
-        self.index, self.owner, self.n = flat[flat >= 0], owner[flat >= 0], len(rows)
+        known = flat >= 0
+        self.index, self.owner, self.n = flat[known], owner[known], len(rows)
         self.starts = np.searchsorted(self.owner, np.arange(len(rows) + 1))
 
+    def _parts(self):
+        """Blocks of rows, so that temporary arrays stay small."""
+        for row in range(0, self.n, 500):
+            yield row, min(row + 500, self.n), slice(self.starts[row], self.starts[min(row + 500, self.n)])
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, w[self.index], self.n)
+        return np.concatenate([np.zeros(0), *(np.bincount(self.owner[at] - low, w[self.index[at]], high - low) for low, high, at in self._parts())])
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, r[self.owner], len(self.columns))
+        out = np.zeros(len(self.columns))
+        for _, _, at in self._parts():
+            out += np.bincount(self.index[at], r[self.owner[at]], len(out))
+        return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ def log_count_ratio(x: Sparse, y: np.ndarray, smooth: float = 1.0) -> np.ndarray
 
 def dual_coordinate_descent(x: Sparse, r: np.ndarray, y: np.ndarray, rows: np.ndarray, c: float = 1.0, epochs: int = 12) -> np.ndarray:
     """Weights (the last one the bias) of the L1-loss linear SVM on the given rows, features scaled by r."""
-    norm = r / np.sqrt(max(1.0, float(np.mean(np.bincount(x.owner, (r * r)[x.index], x.n)[rows]))))
+    norm = r / np.sqrt(max(1.0, float(np.mean(x.dot(r * r)[rows]))))
     index = [x.index[x.starts[i] : x.starts[i + 1]] for i in rows]
     value = [norm[i] for i in index]
     sign = np.where(y[rows] == 1, 1.0, -1.0)

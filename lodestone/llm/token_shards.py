@@ -66,7 +66,7 @@ def store_of(path: str) -> tuple[WordStore, int]:
         found = [[t.id for t in model.tokenize(w)] for w in written]
         return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
 
-    inner = WordStore(encode_tokens)
+    inner = WordStore(encode_tokens, words=300_000)
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces: Latin ones by their pre-tokens, each encoded once; others, and white space, one by one as they are."""
@@ -86,7 +86,7 @@ def store_of(path: str) -> tuple[WordStore, int]:
         out[~own] = [i for _, ids in rest for i in ids]
         return out, counts
 
-    return WordStore(encode), tokenizer.get_vocab_size()
+    return WordStore(encode, words=400_000), tokenizer.get_vocab_size()
 
 
 def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_tokens: int = 1 << 20) -> None:

@@ -14,7 +14,7 @@ class WordStore:
     encode gives a list of pieces' ids, flat, and how many each has.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], words: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], words: int = 150_000):
         self.encode, self.limit = encode, words
         self.at: dict[str, int] = {}
         self.ids, self.starts, self.counts, self.hits = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
