@@ -3,7 +3,8 @@
 Lines are exploded, normalised and hashed (two independent 64-bit hashes), distinct documents are counted
 per hash, lines over the threshold are dropped everywhere but in the largest document id that holds them,
 and the rest is reassembled by position. Only hashes and positions are shuffled for the counting; texts move
-once, to meet their list of dropped positions.
+once, to meet their list of dropped positions. The shared hashes are written to the shared folder, so the join
+with them is a plain one, whose hot keys adaptive execution can split.
 
 Defined cases: a null or empty text is one empty line; rows that repeat (same id, same text) are treated
 alike and count once; rows that share an id but not a text are treated one by one and count as one document;
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ascii_lower, text_or_empty, without
+from .common import ASCII_SPACE, ascii_lower, materialise, text_or_empty, without
 
 NEW = ("n_lines", "n_dropped")
 
@@ -41,6 +42,7 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .groupBy("h1", "h2").agg(F.count("doc").alias("n"), F.max("doc").alias("keeper"))
         .filter(F.col("n") >= min_docs).select("h1", "h2", "keeper")
     )
+    shared = materialise(shared, "shared-lines")
     dropped = (
         hashed.join(shared, ["h1", "h2"])
         .filter(~F.col("doc").eqNullSafe(F.col("keeper")))
