@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from lodestone.operators.asof import asof, within_interval
 from lodestone.operators.bars import bars_from_ticks, daily_features, path_outcome
 from lodestone.operators.keyed import insert_new, latest_per_key, merge_inventory, newest_active, upsert, write_partitions
 from lodestone.operators.ranks import normalised_ranks, ordered_names, rank_where, tail_state
-from lodestone.plans.events import fit_calibration
+from lodestone.plans.events import fit_calibration, q23_bootstrap
 from lodestone.sources.tables import corporate_events, known_assets, read_bar_pages, read_staged, stage_csv, write_monthly
 from lodestone.streaming.ingest import append_new, completed_minutes, fresh_bars
 
@@ -133,6 +134,20 @@ def test_calibration_recovers_a_mapping(spark):
     assert abs(inverse + b) < 1e-6
 
 
+def test_bootstrap_has_the_references_replications(spark, tmp_path):
+    net = [round(float(0.04 * np.sin(i)) + (0.01 if i % 3 else -0.005), 6) for i in range(12)]
+    lines = [(flag, "F", T(2024, m + 1, 5), x + lift, 0.0) for flag, lift in (("A", 0.01), ("R", 0.5)) for m, x in enumerate(net)]
+    spark.createDataFrame(lines, "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz, l_discount double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r["candidate"]: r for r in q23_bootstrap(spark, str(tmp_path)).collect()}
+    for name, lift in (("A|F", 0.0), ("R|F", 0.49)):
+        x = np.round(np.array(net) + lift, 9)  # all draws at once, as the reference makes them
+        at = ((np.random.Generator(np.random.PCG64(20260813)).integers(0, 12, size=(20_000, 3))[:, :, None] + np.arange(5)) % 12).reshape(20_000, -1)[:, :12]
+        low, high = np.quantile(x[at].mean(axis=1), [0.025, 0.975], method="linear")
+        p = (1 + np.count_nonzero((x - x.mean())[at].mean(axis=1) >= x.mean())) / 20_001
+        assert (got[name]["n"], got[name]["p"]) == (12, p) and np.allclose([got[name]["low"], got[name]["high"]], [low, high], rtol=0, atol=2e-9)
+    assert got["R|F"]["p"] == 1 / 20_001
+
+
 def test_sources(spark, tmp_path):
     page = {"bars": {"A": [{"t": "2024-01-02T15:00:00.123456789Z", "o": 1, "h": 2, "l": 1, "c": 2, "v": 5, "n": 1}], "B": []}, "next_page_token": None}
     (tmp_path / "p").mkdir()
