@@ -144,8 +144,9 @@ D9 = "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_or
 
 
 def d12_ordered_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-seen items of each source by normalised opening words, at most ten; empty keys are not deduplicated."""
-    d = load(spark, sf_dir, "documents").select("source", "doc_id", F.lower(F.trim(F.substring("text", 1, 40))).alias("key"))
+    """First-seen items of each source by their whole normalised text, at most ten; empty keys (null texts too) are not deduplicated."""
+    text = F.coalesce(F.lower(F.trim("text")), F.lit(""))
+    d = load(spark, sf_dir, "documents").select("source", "doc_id", F.when(text == "", "").otherwise(F.sha2(text, 256)).alias("key"))
     seen = F.row_number().over(Window.partitionBy("source", "key").orderBy("doc_id"))
     once = d.withColumn("seen", seen).filter((F.col("seen") == 1) | (F.col("key") == ""))
     return latest_per_key(once, ["source"], F.col("doc_id").asc(), keep=10).select("source", "doc_id")

@@ -14,6 +14,7 @@ from lodestone.operators.bars import bars_from_ticks, daily_features, path_outco
 from lodestone.operators.keyed import insert_new, latest_per_key, merge_inventory, newest_active, upsert, write_partitions
 from lodestone.operators.ranks import normalised_ranks, ordered_names, rank_where, tail_state
 from lodestone.plans.events import fit_calibration, q23_bootstrap
+from lodestone.plans.market import d12_ordered_dedup
 from lodestone.sources.tables import corporate_events, known_assets, read_bar_pages, read_staged, stage_csv, write_monthly
 from lodestone.streaming.ingest import append_new, completed_minutes, fresh_bars
 
@@ -59,6 +60,13 @@ def test_upserts(spark):
     assert rows(latest_per_key(new, ["k"], F.col("v").desc(), keep=2).select("k", "v")) == [("b", 8), ("b", 9), ("c", 7)]
 
 
+def test_dedup_reads_the_whole_text(spark, tmp_path):
+    opening = "the same forty characters open these two texts: "
+    texts = [opening + "one", opening + "two", " " + opening.upper() + "ONE", None, None, "", " "]
+    spark.createDataFrame([("s", i, t) for i, t in enumerate(texts)] + [("t", i, f"x{i}") for i in range(20, 32)], "source string, doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(d12_ordered_dedup(spark, str(tmp_path))) == [("s", i) for i in (0, 1, 3, 4, 5, 6)] + [("t", i) for i in range(20, 30)]
+
+
 def test_asof_strictness_and_reach(spark):
     left = spark.createDataFrame([(1, "x", T(2024, 1, 1, 12, 0)), (2, "x", T(2024, 1, 1, 15, 0)), (3, "y", T(2024, 1, 1, 12, 0))], "left_id long, k string, at timestamp_ntz")
     right = spark.createDataFrame([("x", T(2024, 1, 1, 11, 59, 59), 1), ("x", T(2024, 1, 1, 12, 0), 2), ("x", T(2024, 1, 1, 12, 20), 3)], "k string, ts timestamp_ntz, v int")
