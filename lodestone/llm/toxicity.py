@@ -34,6 +34,39 @@ IDENTITY_GROUPS = (
     ("immigrants", "refugees", "citizens"),
     ("disabled", "blind", "deaf"),
     ("old", "young"),
+    # German
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle", "transsexuelle"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch", "atheistisch"),
+    ("schwarze", "weiße", "asiaten"),
+    ("afrikaner", "europäer", "amerikaner", "mexikaner", "chinesen", "inder", "türken"),
+    ("einwanderer", "flüchtlinge", "staatsbürger"),
+    ("behinderte", "blinde", "gehörlose"),
+    # French
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("gays", "lesbiennes", "hétérosexuels", "bisexuels", "transgenres"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("noirs", "blancs", "asiatiques"),
+    ("africains", "européens", "américains", "mexicains", "chinois", "indiens", "arabes"),
+    ("immigrés", "réfugiés", "citoyens"),
+    ("handicapés", "aveugles", "sourds"),
+    # Spanish
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("niñas", "niños"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales", "transexuales"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("negros", "blancos", "asiáticos"),
+    ("africanos", "europeos", "americanos", "mexicanos", "chinos", "indios", "árabes"),
+    ("inmigrantes", "refugiados", "ciudadanos"),
+    ("discapacitados", "ciegos", "sordos"),
 )
 
 

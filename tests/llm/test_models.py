@@ -120,6 +120,24 @@ def test_counterfactuals_free_identity_terms():
     assert swap("Gay men") == ["lesbian women", "transgender women"]
 
 
+@pytest.mark.parametrize("terms", [("women", "muslims", "gay"), ("Frauen", "Muslime", "Schwule"), ("femmes", "musulmans", "gays"), ("mujeres", "musulmanes", "homosexuales")])
+def test_counterfactuals_work_at_the_default_weight(terms):
+    named = dict(zip(("women", "muslims", "gay"), terms, strict=True))
+    rows = [(" ".join(named.get(w, w) for w in t.split()), b) for _, t, b in sentences(600, 1, told=0.5)]
+    f, swap = WordIndicators(), toxicity.swapper(toxicity.IDENTITY_GROUPS)
+    x, y = [f(t) for t, _ in rows], np.array([b for _, b in rows])
+    free, plain = toxicity.fit(x, y, [[f(v) for v in swap(t)] for t, _ in rows]), toxicity.fit(x, y, [[] for _ in x])
+    score = lambda m, t: sum(m.weights.get(int(k), 0.0) for k in f(t)) + m.bias
+    for term in terms:
+        change = lambda m: abs(score(m, f"x {term} y") - score(m, swap(f"x {term} y")[0]))  # noqa: B023, E731
+        assert change(plain) > 0.2 and change(free) < 0.1 * change(plain)
+
+
+def test_identity_terms_are_in_one_group():
+    terms = [t for g in toxicity.IDENTITY_GROUPS for t in g]
+    assert len(terms) == len(set(terms)) and toxicity.swapper(toxicity.IDENTITY_GROUPS)("Hindus") == ["buddhists", "jews"]
+
+
 @pytest.mark.parametrize("module, frame", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifiers_on_frames(spark, module, frame):
     rows = sentences(400, 4) if module is toxicity else [(i, ("w x" if i % 5 else "A!! B!!") + f" t{i % 7}", int(i % 5 > 0)) for i in range(400)]
