@@ -28,12 +28,16 @@ Q6 = f"""WITH {PANEL}, f AS (SELECT signal_date FROM panel GROUP BY 1 HAVING cou
  FROM panel a JOIN panel b ON b.symbol = a.symbol AND b.signal_date + 1 = a.signal_date WHERE a.close > 0 AND b.close > 0 AND a.volume > 0 AND b.volume > 0 AND a.signal_date IN (SELECT signal_date FROM f)) SELECT * FROM x WHERE change >= 0.3 AND volume_change >= 0.2"""
 
 
+#: Fewer names make no basket (the reference's constant).
+MIN_BASKET_NAMES = 6
+
+
 def q7_basket_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short baskets of the candidates per day: at least three names, mean short return from next open to next close, less a spread."""
+    """Short baskets of the candidates per day: at least six names, mean short return from next open to next close, less a spread."""
     c = q6_signal_candidates(spark, sf_dir).join(panel(spark, sf_dir).select("symbol", "signal_date", "next_open", "next_close"), ["symbol", "signal_date"])
     ok = F.col("next_open").isNotNull() & (F.col("next_open") > 0) & F.col("next_close").isNotNull()
     b = c.groupBy("signal_date").agg(F.count("*").alias("names"), F.count_if(ok).alias("priced"), F.avg(F.when(ok, 1 - F.col("next_close") / F.col("next_open"))).alias("short"))
-    return b.select("signal_date", "names", "priced", F.when(F.col("priced") >= 3, R(F.col("short") - 0.0012)).alias("net"), F.when(F.col("names") < 3, "TOO_FEW_NAMES").when(F.col("priced") < 3, "MISSING_PRICE").alias("excluded"))
+    return b.select("signal_date", "names", "priced", F.when(F.col("priced") >= MIN_BASKET_NAMES, R(F.col("short") - 0.0012)).alias("net"), F.when(F.col("names") < MIN_BASKET_NAMES, "TOO_FEW_NAMES").when(F.col("priced") < MIN_BASKET_NAMES, "MISSING_PRICE").alias("excluded"))
 
 
 Q7 = f"""WITH {PANEL}, f AS (SELECT signal_date FROM panel GROUP BY 1 HAVING count(*) >= 20), x AS (SELECT a.symbol, a.signal_date, a.next_open, a.next_close, round(ln(a.close / b.close), 6) AS change, round(ln(a.volume / b.volume), 6) AS volume_change

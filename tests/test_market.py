@@ -15,6 +15,7 @@ from lodestone.operators.keyed import insert_new, latest_per_key, merge_inventor
 from lodestone.operators.ranks import normalised_ranks, ordered_names, rank_where, tail_state
 from lodestone.plans.events import fit_calibration, q23_bootstrap
 from lodestone.plans.market import d12_ordered_dedup
+from lodestone.plans.scanner import q7_basket_eligibility
 from lodestone.sources.tables import corporate_events, known_assets, read_bar_pages, read_staged, stage_csv, write_monthly
 from lodestone.streaming.ingest import append_new, completed_minutes, fresh_bars
 
@@ -156,6 +157,15 @@ def test_bootstrap_has_the_references_replications(spark, tmp_path):
     assert got["R|F"]["p"] == 1 / 20_001
 
 
+def test_baskets_have_six_names(spark, monkeypatch):
+    c = spark.createDataFrame([(f"n{i}", dt.date(2024, 1, d)) for d, n in ((1, 5), (2, 6), (3, 6)) for i in range(n)], "symbol string, signal_date date")
+    p = c.withColumn("next_open", F.lit(10.0)).withColumn("next_close", F.when(F.substring("symbol", 2, 1).cast("int") < F.when(F.dayofmonth("signal_date") == 2, 6).otherwise(5), 9.0))
+    monkeypatch.setattr("lodestone.plans.scanner.q6_signal_candidates", lambda *a: c)
+    monkeypatch.setattr("lodestone.plans.scanner.panel", lambda *a: p)
+    got = {r["signal_date"].day: (r["priced"], r["net"], r["excluded"]) for r in q7_basket_eligibility(spark, "").collect()}
+    assert got == {1: (5, None, "TOO_FEW_NAMES"), 2: (6, 0.0988, None), 3: (5, None, "MISSING_PRICE")}
+
+
 def test_sources(spark, tmp_path):
     page = {"bars": {"A": [{"t": "2024-01-02T15:00:00.123456789Z", "o": 1, "h": 2, "l": 1, "c": 2, "v": 5, "n": 1}], "B": []}, "next_page_token": None}
     (tmp_path / "p").mkdir()
