@@ -33,7 +33,7 @@ def _network(spark: SparkSession, sf_dir: str, lookback: int) -> DataFrame:
     """
     d = ticks(spark, sf_dir).withColumn("h", F.date_trunc("hour", "ts")).groupBy("symbol", "h").agg(F.avg("price").alias("p"))
     w = Window.partitionBy("symbol").orderBy("h")
-    d = d.withColumn("gap", F.round((F.col("p") / F.lag("p").over(w) - 1) * 100, 8)).withColumn("nxt", F.round((F.lead("p").over(w) / F.col("p") - 1) * 100, 5)).filter("gap is not null and nxt is not null")
+    d = d.withColumn("gap", F.round((F.try_divide("p", F.lag("p").over(w)) - 1) * 100, 8)).withColumn("nxt", F.round((F.try_divide(F.lead("p").over(w), "p") - 1) * 100, 5)).filter("gap is not null and nxt is not null")
     state = F.when(F.col("gap") < -20, "G1").when(F.col("gap") < -5, "G2").when(F.col("gap") < 0, "G3").when(F.col("gap") < 5, "G4").when(F.col("gap") < 20, "G5").otherwise("G6")
     g = d.withColumn("state", state)
     source = g.filter(F.col("symbol").isin("click", "view", "purchase", "error")).select(F.col("symbol").alias("source"), "h", "state")
@@ -61,7 +61,7 @@ def q17_network_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q17 = f"""WITH {TICKS}, d0 AS (SELECT symbol, date_trunc('hour', ts)::TIMESTAMP AS h, avg(price) AS p FROM ticks GROUP BY ALL),
-d AS (SELECT symbol, h, round((p / lag(p) OVER w - 1) * 100, 8) AS gap, round((lead(p) OVER w / p - 1) * 100, 5) AS nxt FROM d0 WINDOW w AS (PARTITION BY symbol ORDER BY h)),
+d AS (SELECT symbol, h, round((p / nullif(lag(p) OVER w, 0) - 1) * 100, 8) AS gap, round((lead(p) OVER w / nullif(p, 0) - 1) * 100, 5) AS nxt FROM d0 WINDOW w AS (PARTITION BY symbol ORDER BY h)),
 g AS (SELECT *, CASE WHEN gap < -20 THEN 'G1' WHEN gap < -5 THEN 'G2' WHEN gap < 0 THEN 'G3' WHEN gap < 5 THEN 'G4' WHEN gap < 20 THEN 'G5' ELSE 'G6' END AS state FROM d WHERE gap IS NOT NULL AND nxt IS NOT NULL),
 pairs AS (SELECT s.symbol AS source, t.symbol AS target, h, s.state, t.nxt FROM g s JOIN g t USING (h) WHERE s.symbol IN ('click', 'view', 'purchase', 'error')),
 rolled AS (SELECT *, count(nxt) OVER b AS n, avg(nxt) OVER b AS mean, stddev_samp(nxt) OVER b AS sd FROM pairs WINDOW b AS (PARTITION BY source, target, state ORDER BY h ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)),
@@ -77,11 +77,12 @@ FEATURES = ["day_return", "location", "drawdown", "activity"]
 
 
 def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = panel(spark, sf_dir).filter("high > low")
-    return p.select("symbol", "signal_date", "next_open", "next_close", (F.col("close") / F.col("open") - 1).alias("day_return"), ((F.col("close") - F.col("low")) / (F.col("high") - F.col("low"))).alias("location"), (F.col("low") / F.col("open") - 1).alias("drawdown"), F.col("n_ticks").cast("double").alias("activity"))
+    """Daily signals of days with a range and a price; an opening price of zero is none."""
+    p = panel(spark, sf_dir).filter("high > low and open > 0")
+    return p.select("symbol", "signal_date", "next_open", "next_close", (F.try_divide("close", "open") - 1).alias("day_return"), ((F.col("close") - F.col("low")) / (F.col("high") - F.col("low"))).alias("location"), (F.try_divide("low", "open") - 1).alias("drawdown"), F.col("n_ticks").cast("double").alias("activity"))
 
 
-SIGNALS = f"""{PANEL}, sig AS (SELECT symbol, signal_date, next_open, next_close, close / open - 1 AS day_return, (close - low) / (high - low) AS location, low / open - 1 AS drawdown, n_ticks::DOUBLE AS activity FROM panel WHERE high > low)"""
+SIGNALS = f"""{PANEL}, sig AS (SELECT symbol, signal_date, next_open, next_close, close / open - 1 AS day_return, (close - low) / (high - low) AS location, low / open - 1 AS drawdown, n_ticks::DOUBLE AS activity FROM panel WHERE high > low AND open > 0)"""
 
 
 def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,12 +304,12 @@ def q24_newey_west(spark: SparkSession, sf_dir: str, lags: int = 5) -> DataFrame
     parts = [F.sum(F.col("e") * F.col("e"))] + [2 * (1 - k / (lags + 1)) * F.sum(F.col(f"e{k}")) for k in range(1, lags + 1)]
     e = e.select("*", *[(F.col("e") * F.lag("e", k).over(w)).alias(f"e{k}") for k in range(1, lags + 1)])
     out = e.groupBy("l_returnflag").agg(F.first("m").alias("m"), F.first("n").alias("n"), sum(parts[1:], parts[0]).alias("s"))
-    return out.select("l_returnflag", F.col("n").alias("days"), R(F.col("m"), 6).alias("mean"), R(F.col("m") / F.sqrt(F.col("s") / F.col("n") / F.col("n")), 4).alias("t_nw"))
+    return out.select("l_returnflag", F.col("n").alias("days"), R(F.col("m"), 6).alias("mean"), R(F.try_divide("m", F.sqrt(F.col("s") / F.col("n") / F.col("n"))), 4).alias("t_nw"))
 
 
 Q24 = f"""WITH {LEDGER}, d AS (SELECT l_returnflag, day, round(avg(gross), 9) AS x FROM led GROUP BY ALL), e AS (SELECT *, x - avg(x) OVER (PARTITION BY l_returnflag) AS e, avg(x) OVER (PARTITION BY l_returnflag) AS m, count(*) OVER (PARTITION BY l_returnflag) AS n FROM d),
 l AS (SELECT *, {', '.join(f'e * lag(e, {k}) OVER w AS e{k}' for k in range(1, 6))} FROM e WINDOW w AS (PARTITION BY l_returnflag ORDER BY day))
-SELECT l_returnflag, any_value(n) AS days, round(any_value(m), 6) AS mean, round(any_value(m) / sqrt((sum(e * e) {' '.join(f'+ 2 * (1 - {k} / 6.0::DOUBLE) * sum(e{k})' for k in range(1, 6))}) / any_value(n) / any_value(n)), 4) AS t_nw FROM l GROUP BY 1"""
+SELECT l_returnflag, any_value(n) AS days, round(any_value(m), 6) AS mean, round(any_value(m) / nullif(sqrt((sum(e * e) {' '.join(f'+ 2 * (1 - {k} / 6.0::DOUBLE) * sum(e{k})' for k in range(1, 6))}) / any_value(n) / any_value(n)), 0), 4) AS t_nw FROM l GROUP BY 1"""
 
 
 def w17_rolling_and_octiles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,13 +180,13 @@ def q40_three_session_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel(spark, sf_dir)
     w = Window.partitionBy("symbol").orderBy("signal_date")
     p = p.withColumn("k", F.row_number().over(w) - 1).withColumn("price", F.first("close").over(w))
-    x = p.filter("k between 1 and 3").withColumn("up", F.round((F.col("high") / F.col("price") - 1) * 100, 6)).withColumn("down", F.round((F.col("low") / F.col("price") - 1) * 100, 6))
+    x = p.filter("k between 1 and 3").withColumn("up", F.round((F.try_divide("high", "price") - 1) * 100, 6)).withColumn("down", F.round((F.try_divide("low", "price") - 1) * 100, 6))
     out = x.groupBy("symbol").agg(F.count("*").alias("sessions"), F.max(F.struct("up", (-F.col("k")).alias("k"))).alias("b"), F.min(F.struct("down", "k")).alias("w"))
     return out.select("symbol", "sessions", F.col("b.up").alias("mfe"), (-F.col("b.k")).alias("mfe_session"), F.col("w.down").alias("mae"), F.col("w.k").alias("mae_session"), (F.col("b.up") >= 5).alias("hit"))
 
 
 Q40 = f"""WITH {PANEL}, k AS (SELECT *, row_number() OVER w - 1 AS k, first_value(close) OVER w AS price FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY signal_date)),
-x AS (SELECT symbol, k, round((high / price - 1) * 100, 6) AS up, round((low / price - 1) * 100, 6) AS down FROM k WHERE k BETWEEN 1 AND 3)
+x AS (SELECT symbol, k, round((high / nullif(price, 0) - 1) * 100, 6) AS up, round((low / nullif(price, 0) - 1) * 100, 6) AS down FROM k WHERE k BETWEEN 1 AND 3)
 SELECT symbol, count(*) AS sessions, max(up) AS mfe, first(k ORDER BY up DESC, k) AS mfe_session, min(down) AS mae, first(k ORDER BY down, k) AS mae_session, max(up) >= 5 AS hit FROM x GROUP BY 1"""
 
 
@@ -195,7 +195,7 @@ def q39_horizon_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel(spark, sf_dir)
     w = Window.partitionBy("symbol").orderBy("signal_date")
     p = p.withColumn("k", F.row_number().over(w) - 1).withColumn("price", F.first("close").over(w)).filter("k >= 1")
-    ret = lambda c: F.round((F.col(c) / F.col("price") - 1) * 100, 6)
+    ret = lambda c: F.round((F.try_divide(c, "price") - 1) * 100, 6)
     p = p.withColumn("r", ret("close")).withColumn("up", ret("high")).withColumn("down", ret("low"))
     nth = lambda n: F.max(F.when(F.col("k") == n, F.col("r")))
     out = p.groupBy("symbol").agg(nth(1).alias("return_1d"), nth(3).alias("return_3d"), nth(5).alias("return_1w"), F.max("up").alias("mfe"), F.min("down").alias("mae"), F.min(F.when(F.col("up") >= 50, F.col("k"))).alias("hit_day"), F.min(F.when(F.col("down") <= -50, F.col("k"))).alias("fall_day"))
@@ -204,7 +204,7 @@ def q39_horizon_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q39 = f"""WITH {PANEL}, k AS (SELECT *, row_number() OVER w - 1 AS k, first_value(close) OVER w AS price FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY signal_date)),
-x AS (SELECT symbol, k, round((close / price - 1) * 100, 6) AS r, round((high / price - 1) * 100, 6) AS up, round((low / price - 1) * 100, 6) AS down FROM k WHERE k >= 1),
+x AS (SELECT symbol, k, round((close / nullif(price, 0) - 1) * 100, 6) AS r, round((high / nullif(price, 0) - 1) * 100, 6) AS up, round((low / nullif(price, 0) - 1) * 100, 6) AS down FROM k WHERE k >= 1),
 a AS (SELECT symbol, max(r) FILTER (WHERE k = 1) AS return_1d, max(r) FILTER (WHERE k = 3) AS return_3d, max(r) FILTER (WHERE k = 5) AS return_1w, max(up) AS mfe, min(down) AS mae, min(k) FILTER (WHERE up >= 50) AS hit_day, min(k) FILTER (WHERE down <= -50) AS fall_day FROM x GROUP BY 1)
 SELECT *, CASE WHEN hit_day IS NULL THEN fall_day IS NOT NULL WHEN fall_day IS NULL OR fall_day > hit_day THEN FALSE WHEN fall_day < hit_day THEN TRUE END AS fell_before_hit FROM a"""
 
@@ -259,7 +259,7 @@ def q46_hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best of four hypotheses (side x style) per symbol and hour, with penalties and a tie-break order."""
     b = bars(spark, sf_dir, 60)
     w = Window.partitionBy("symbol").orderBy("bar_ts")
-    ret = lambda n: F.round((F.col("close") / F.lag("close", n).over(w) - 1) * 100, 6)
+    ret = lambda n: F.round((F.try_divide("close", F.lag("close", n).over(w)) - 1) * 100, 6)
     b = b.select("symbol", "bar_ts", ret(1).alias("r1"), ret(4).alias("r4"), "trade_count").filter("r4 is not null")
     h = b.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("side"), F.lit(t).alias("style")) for k, (s, t) in enumerate((s, t) for s in (1, -1) for t in ("CONTINUATION", "REVERSION"))])).alias("h"))
     move = F.col("h.side") * F.when(F.col("h.style") == "CONTINUATION", F.col("r4")).otherwise(-F.col("r4"))
@@ -272,7 +272,7 @@ def q46_hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("symbol", "bar_ts", F.when(F.col("h.side") > 0, "LONG").otherwise("SHORT").alias("direction"), F.col("h.style").alias("style"), "score", "margin", (F.col("margin") < 3).alias("ambiguous"))
 
 
-Q46H = f"""WITH {BARS.replace("'15 minutes'", "'60 minutes'")}, r AS (SELECT symbol, bar_ts, trade_count, round((close / lag(close, 1) OVER w - 1) * 100, 6) AS r1, round((close / lag(close, 4) OVER w - 1) * 100, 6) AS r4 FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY bar_ts)),
+Q46H = f"""WITH {BARS.replace("'15 minutes'", "'60 minutes'")}, r AS (SELECT symbol, bar_ts, trade_count, round((close / nullif(lag(close, 1) OVER w, 0) - 1) * 100, 6) AS r1, round((close / nullif(lag(close, 4) OVER w, 0) - 1) * 100, 6) AS r4 FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY bar_ts)),
 h AS (SELECT *, side * CASE WHEN style = 'CONTINUATION' THEN r4 ELSE -r4 END AS move, side * r1 AS turn FROM r CROSS JOIN (VALUES (0, 1, 'CONTINUATION'), (1, 1, 'REVERSION'), (2, -1, 'CONTINUATION'), (3, -1, 'REVERSION')) t(k, side, style) WHERE r4 IS NOT NULL),
 s AS (SELECT *, round(least(100.0, greatest(0.0, 50.0 + 30.0 * tanh(move / 40.0) + 15.0 * tanh(turn / 30.0) - CASE WHEN turn < 0 THEN 12 ELSE 0 END - CASE WHEN trade_count < 3 THEN 8 ELSE 0 END))::DOUBLE, 6) AS score FROM h),
 p AS (SELECT *, row_number() OVER (PARTITION BY symbol, bar_ts ORDER BY score DESC, k) AS place FROM s)
