@@ -1,22 +1,27 @@
 """Operator 9, MinHash near-dedup: a multi-index Hamming join of b-bit signatures, confirmed on full sets.
 
-A document's set of word shingles gives a signature of 64 values of 16 bits. Pairs are wanted whose
+A document's set of word shingles gives a signature of 64 values of 16 bits. All pairs are found whose
 signatures differ in at most 31 values: cut into 16 chunks of 4 values, such a pair has a chunk with at most
 one differing value (pigeonhole), so each chunk is indexed four times, each time with one value left out, and
 the pair meets in one of these 64 buckets. A pair of documents at similarity 0.75 has more than 31 differing
-values with probability below 2e-5. A 64-bit sketch (a bit of each value) travels with the keys and
-rejects pairs that differ in more than 22 bits (at similarity 0.75: probability below 1e-5).
+values with probability below 2e-5, a more similar one with less. A bucket's key is one long: its number and the
+chunk's three other values.
 
-Buckets are never expanded into all pairs. Documents with equal sets are one class from the start. Each
-bucket's members are first held against three pivots of the bucket, confirmed links give components, and only
+Buckets are never expanded into all pairs. Documents with equal sets are one class from the start. Keys are
+counted first, and only rows of shared buckets go on. Each bucket's members are held against three pivots of the
+bucket, confirmed links give components, and only
 buckets with members of several components are looked at again: members that hold too many shingles that no
 other remaining document has can link with nothing, and the others are compared across components, block by
 block, under bounds on the intersection. So no link between components is lost, and links inside one need not be listed.
 
+Classes are numbered; numbers, keys and pairs are what is shuffled, and signatures and sets are fetched for those
+that need them. Every intermediate table is in the shared folder and is removed when its last reader is done.
+
 Defined cases: a null or empty text, or one of white space, has an empty set and links with nothing; fewer
 words than a shingle make one shingle; rows with a null id link with nothing and are kept; rows that repeat
-have the same component, and each of them is kept if its id is the component's; an empty table gives an empty
-table; input columns that have the name of a result column are replaced.
+have the same component, and each of them is kept if its id is the component's; rows that share an id but not a text
+are judged one by one; an empty table gives an empty table; input columns that have the name of a result column
+are replaced.
 """
 
 from __future__ import annotations
@@ -29,12 +34,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, without
+from .common import drop_table, materialise, reread, without
 from .graph import components
 
-VALUES, CHUNKS, MAX_DIFFERENT, MAX_BITS = 64, 16, 31, 22
-#: Ids that may be broadcast to pick documents (8 bytes each).
-BROADCAST_IDS = 1_000_000
+VALUES, CHUNKS, MAX_DIFFERENT = 64, 16, 31
+#: Rows of ids or keys that may be broadcast (some 40 bytes each); beyond that the join is a plain one.
+BROADCAST_ROWS = 500_000
+#: Classes whose bucket keys one task makes (64 rows each).
+CLASSES_A_TASK = 8_192
 NEW = ("n_shingles", "component_id", "kept")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,7 +50,7 @@ class WordHashes(dict):
     """64-bit hashes of the words met so far."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -83,25 +90,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def set_rows(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """(id, text) in; (id, n, f1, f2: a fingerprint of the set, signature: 16 longs, sketch) out."""
-    hashes, none = WordHashes(), np.zeros(CHUNKS, np.int64)
-    for batch in batches:
-        n, f, signatures, sketches = [], [], [], []
-        for text in batch.column("text"):
-            s = shingle_set(text.as_py(), shingle, hashes)
-            n.append(len(s))
-            digest = xxhash.xxh3_128_digest(s.tobytes())
-            f.append(np.frombuffer(digest, "<i8"))
-            values = signature(s) if len(s) else None
-            signatures.append(none if values is None else values.view("<i8"))
-            sketches.append(0 if values is None else int(np.packbits((values & 1).astype(bool)).view("<i8")[0]))
-        f = np.array(f).reshape(-1, 2)
-        flat = np.concatenate(signatures) if signatures else np.empty(0, np.int64)
-        columns = [
-            batch.column("id"), pa.array(n, pa.int64()), pa.array(f[:, 0]), pa.array(f[:, 1]),
-            pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * CHUNKS, pa.int32()), pa.array(flat)), pa.array(sketches, pa.int64()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "f1", "f2", "signature", "sketch"])
+    """(id, version, text) in; (id, version, n, f1, f2: a fingerprint of the set, signature: 16 longs or null) out."""
+    hashes = WordHashes()
+    for whole in batches:
+        for batch in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
+            n, f, signatures = [], [], []
+            for text in batch.column("text"):
+                s = shingle_set(text.as_py(), shingle, hashes)
+                n.append(len(s))
+                f.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8"))
+                signatures.append(signature(s).view("<i8") if len(s) else None)
+            f = np.array(f).reshape(-1, 2)
+            columns = [batch.column("id"), batch.column("version"), pa.array(n, pa.int64()), pa.array(f[:, 0]), pa.array(f[:, 1]), pa.array(signatures, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "version", "n", "f1", "f2", "signature"])
 
 
 def different_values(a: Column, b: Column) -> Column:
@@ -115,19 +116,21 @@ def different_values(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: p.bitwiseXOR(q)), F.lit(0), lambda acc, v: acc + lanes(v))
 
 
-def bucket_keys(reps: DataFrame) -> DataFrame:
-    """64 rows a document: which chunk and which value of it is left out, and the chunk's other values."""
-    masks = [~(0xFFFF << (16 * i)) & 0xFFFFFFFFFFFFFFFF for i in range(4)]
-    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
-    chunk = reps.select("rep", "n", "sketch", F.posexplode("signature").alias("chunk", "v"))
-    options = F.array(*[F.struct(F.lit(i).alias("out"), F.col("v").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(masks)])
-    return chunk.select("rep", "n", "sketch", "chunk", F.explode(options).alias("o")).select("rep", "n", "sketch", (F.col("chunk") * 4 + F.col("o.out")).alias("tag"), F.col("o.part").alias("part"))
+def bucket_keys(classes: DataFrame) -> DataFrame:
+    """64 rows (c, key) a class: which chunk and which value of it is left out (above bit 48), and the chunk's other values."""
+    chunk = classes.select("c", F.posexplode("signature").alias("chunk", "v"))
+
+    def key(out: int) -> Column:
+        low = F.col("v").bitwiseAND(F.lit((1 << 16 * out) - 1))
+        rest = F.shiftleft(F.shiftrightunsigned("v", 16 * out + 16), 16 * out).bitwiseOR(low) if out < 3 else low
+        return F.shiftleft(F.col("chunk").cast("long") * 4 + out, 48).bitwiseOR(rest)
 
+    return chunk.select("c", F.explode(F.array(*[key(i) for i in range(4)])).alias("key"))
 
-def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents (id, text) with these ids (column rep, distinct)."""
-    ids = ids.withColumnRenamed("rep", "id")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+def if_small(df: DataFrame) -> DataFrame:
+    """The table, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 class NearLinks:
@@ -135,83 +138,98 @@ class NearLinks:
 
     def __init__(self, docs: DataFrame, percent: int, shingle: int):
         self.docs, self.percent, self.shingle = docs, percent, shingle
-        self.id_type = docs.schema["id"].dataType.simpleString()
-        schema = f"id {self.id_type}, n long, f1 long, f2 long, signature array<long>, sketch long"
+        self.id_type, self.temporary = docs.schema["id"].dataType.simpleString(), []
+        schema = f"id {self.id_type}, version long, n long, f1 long, f2 long, signature array<long>"
         self.rows = materialise(docs.mapInArrow(lambda b: set_rows(b, shingle), schema), "sets")
         whole = self.rows.filter("n > 0 and id is not null")
-        classes = whole.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
-        self.classes = materialise(classes, "classes")
-
-    def shingles(self, reps: DataFrame) -> DataFrame:
-        """(rep, shingles) of these classes; of an id with several texts, each class by its fingerprint."""
+        classes = whole.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature"))
+        self.classes = materialise(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """A table that stays until clear()."""
+        out, path = reread(df, name)
+        self.temporary.append(path)
+        return out
+
+    def clear(self) -> None:
+        for path in self.temporary:
+            drop_table(self.docs.sparkSession, path)
+        self.temporary.clear()
+
+    def shingles(self, numbers: DataFrame) -> DataFrame:
+        """(c, shingles) of the classes with these numbers (column c). Documents that repeat may give a class in several partitions."""
         size = self.shingle
+        wanted = self.table(self.classes.join(numbers.select("c").distinct(), "c", "left_semi").select(F.col("rep").alias("id"), "c", "f1", "f2"), "wanted")
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = WordHashes()
-            for batch in batches:
-                own = [shingle_set(t.as_py(), size, hashes).view(np.int64) for t in batch.column("text")]
-                offsets = pa.array(np.append(0, np.cumsum([len(s) for s in own])), pa.int32())
-                flat = pa.array(np.concatenate(own) if own else np.empty(0, np.int64))
-                prints = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8") for s in own]).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints[:, 0]), pa.ListArray.from_arrays(offsets, flat)], names=["rep", "f1", "shingles"])
-
-        found = picked(self.docs, reps.select("rep").distinct()).mapInArrow(sets, f"rep {self.id_type}, f1 long, shingles array<long>")
-        return found.filter(F.size("shingles") > 0).dropDuplicates(["rep", "f1"]).drop("f1")
+            hashes, seen = WordHashes(), set()
+            for whole in batches:
+                for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
+                    found, own = [], []
+                    for c, f1, f2, text in zip(*(batch.column(x) for x in ("c", "f1", "f2", "text")), strict=True):
+                        if c.as_py() in seen:
+                            continue
+                        s = shingle_set(text.as_py(), size, hashes)
+                        if tuple(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8").tolist()) == (f1.as_py(), f2.as_py()):
+                            seen.add(c.as_py())
+                            found.append(c.as_py())
+                            own.append(s.view(np.int64))
+                    offsets = pa.array(np.append(0, np.cumsum([len(s) for s in own])), pa.int32())
+                    flat = pa.array(np.concatenate(own) if own else np.empty(0, np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.ListArray.from_arrays(offsets, flat)], names=["c", "shingles"])
+
+        return self.docs.select("id", "text").join(if_small(wanted), "id").select("c", "f1", "f2", "text").mapInArrow(sets, "c long, shingles array<long>")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) of classes, those whose signatures are near and whose full sets are similar enough."""
-        side = lambda s: self.classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"s_{s}"))
+        """Of distinct pairs (a, b) of classes, those whose signatures are near and whose full sets are similar enough.
+
+        No join here is followed by an aggregation on its key, so adaptive execution can split a pivot's many pairs.
+        """
+        side = lambda s: self.classes.select(F.col("c").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"s_{s}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b")
         sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
-        near = near.filter(sizes & (different_values(F.col("s_a"), F.col("s_b")) <= MAX_DIFFERENT)).select("a", "b").distinct()
-        near = materialise(near, "near")
-        sets = self.shingles(near.select(F.col("a").alias("rep")).unionByName(near.select(F.col("b").alias("rep"))))
-        sets = materialise(sets, "shingles")
-        side = lambda s: sets.select(F.col("rep").alias(s), F.col("shingles").alias(f"x_{s}"))
+        near = self.table(near.filter(sizes & (different_values(F.col("s_a"), F.col("s_b")) <= MAX_DIFFERENT)).select("a", "b"), "near")
+        sets = self.table(self.shingles(near.select(F.col("a").alias("c")).unionByName(near.select(F.col("b").alias("c")))), "shingles")
+        side = lambda s: sets.select(F.col("c").alias(s), F.col("shingles").alias(f"x_{s}"))
         both = near.join(side("a"), "a").join(side("b"), "b")
         shared = F.size(F.array_intersect("x_a", "x_b"))
-        return both.filter(shared * 100 >= (F.size("x_a") + F.size("x_b") - shared) * self.percent).select("a", "b").distinct()
+        return both.filter(shared * 100 >= (F.size("x_a") + F.size("x_b") - shared) * self.percent).select("a", "b")
 
 
 def linked_classes(links: NearLinks) -> DataFrame:
-    """(node, component) of the classes that link with another one."""
-    keys = bucket_keys(links.classes)
-    order = F.xxhash64("rep")
-    pivots = keys.groupBy("tag", "part").agg(
-        F.count("*").alias("members"),
-        F.min("rep").alias("p1"), F.min_by("sketch", "rep").alias("q1"),
-        F.min_by("rep", order).alias("p2"), F.min_by("sketch", order).alias("q2"),
-        F.max_by("rep", order).alias("p3"), F.max_by("sketch", order).alias("q3"),
-    )
-    shared = materialise(keys.join(pivots, ["tag", "part"], "left").filter("members > 1").drop("members"), "buckets")
-    near = lambda p, q: F.bit_count(F.col(p).bitwiseXOR(F.col(q))) <= MAX_BITS
-    stars = None
-    for p, q in (("p1", "q1"), ("p2", "q2"), ("p3", "q3")):
-        own = shared.filter((F.col("rep") != F.col(p)) & near("sketch", q)).select(F.least("rep", p).alias("a"), F.greatest("rep", p).alias("b"))
-        stars = own if stars is None else stars.unionByName(own)
-    edges = materialise(links.confirmed(stars.distinct()), "links")
-    first = materialise(components(edges), "components")
-
-    labelled = shared.select("tag", "part", "rep", "n", "sketch").join(first.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-    mixed_buckets = labelled.groupBy("tag", "part").agg(F.min("component").alias("main"), F.max("component").alias("other")).filter("main < other").select("tag", "part", "main")
-    open_ = materialise(labelled.join(mixed_buckets, ["tag", "part"]), "open")
+    """(node, component) of the classes that link with another one; both are numbers of classes."""
+    spread = max(1, links.classes.count() // CLASSES_A_TASK)
+    keys = bucket_keys(links.classes.select("c", "signature").repartition(spread, "c"))
+    common = links.table(keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key"), "keys")
+    shared = links.table(keys.join(if_small(common), "key", "left_semi"), "buckets")
+    order = F.xxhash64("c")
+    pivots = links.table(shared.groupBy("key").agg(F.array(F.min("c"), F.min_by("c", order), F.max_by("c", order)).alias("pivots")), "pivots")
+    stars = shared.join(pivots, "key").select("c", F.explode(F.array_distinct("pivots")).alias("p")).filter("c <> p")
+    stars = stars.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
+    edges = links.table(links.confirmed(stars), "links")
+    first = components(edges)
+
+    labelled = shared.join(first.select(F.col("node").alias("c"), "component"), "c", "left").select("key", "c", F.coalesce("component", "c").alias("component"))
+    labelled = links.table(labelled, "labelled")
+    mixed_buckets = links.table(labelled.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one < other").select("key"), "mixed")
+    open_ = links.table(labelled.join(if_small(mixed_buckets), "key", "left_semi"), "open")
 
     # Shingles that no other class in an open bucket has can be in no intersection.
-    holders = links.shingles(open_).select("rep", F.explode("shingles").alias("s"))
-    alone = holders.groupBy("s").agg(F.count("*").alias("c"), F.min("rep").alias("rep")).filter("c = 1").groupBy("rep").agg(F.count("*").alias("alone"))
-    members = open_.join(alone, "rep", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
-    members = materialise(members.filter(F.col("common") * 100 >= F.col("n") * links.percent).drop("alone"), "members")
+    sets = links.table(links.shingles(open_), "shingles")
+    alone = sets.select("c", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("times"), F.min("c").alias("c")).filter("times = 1").groupBy("c").agg(F.count("*").alias("alone"))
+    able = sets.select("c", F.size("shingles").alias("n")).distinct().join(alone, "c", "left").select("c", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+    able = links.table(able.filter(F.col("common") * 100 >= F.col("n") * links.percent), "able")
+    members = links.table(open_.join(able, "c"), "members")
     return components(edges.unionByName(links_across(links, members)))
 
 
 def bucket_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches sorted by key, cut so that no key's rows are parted."""
+    """Batches sorted by group, cut so that no group's rows are parted."""
     held = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-        key = held.column("key").to_numpy()
+        key = held.column("group").to_numpy()
         cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
         if cut:
             yield held.slice(0, cut)
@@ -226,9 +244,7 @@ def candidates(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.n
     A pair that meets in several buckets is looked at in the one of its first chunk with at most one differing value.
     """
     column = lambda c: table.column(c).to_numpy()
-    key, n, common, side, tag = (column(c) for c in ("key", "n", "common", "side", "tag"))
-    sketch, one_block = column("sketch").view(np.uint64), column("one_block")
-    component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+    key, n, common, side, tag, component, one_block = (column(c) for c in ("group", "n", "common", "side", "tag", "component", "one_block"))
     values = np.stack([np.asarray(x, "<i8") for x in table.column("signature").to_numpy()]).view("<u2")
     end = np.searchsorted(key, key, side="right")
     i = np.arange(len(key))
@@ -239,7 +255,6 @@ def candidates(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.n
         j = i + step
         most = np.minimum(common[i], common[j])
         fits = (component[i] != component[j]) & (one_block[i] | (side[i] != side[j])) & (most * 100 >= (n[i] + n[j] - most) * percent)
-        fits &= np.bitwise_count(sketch[i] ^ sketch[j]) <= MAX_BITS
         a, b = i[fits], j[fits]
         if len(a):
             differ = (values[a] != values[b]).reshape(len(a), CHUNKS, 4)
@@ -250,22 +265,21 @@ def candidates(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.n
             yield a[own], b[own]
 
 
-def links_across(links: NearLinks, members: DataFrame, block: int = 512) -> DataFrame:
-    """Links (a, b) between members of one bucket but of several components.
+def links_across(links: NearLinks, members: DataFrame, block: int = 2048) -> DataFrame:
+    """Links (a, b) between members (key, c, component, n, common) of one bucket but of several components.
 
     Buckets over the block size are split, and each pair of blocks is a group of its own. A first pass keeps the rows
     that have a candidate; only these are given their full sets, and a second pass confirms.
     """
-    percent, id_type = links.percent, links.id_type
-    sizes = members.groupBy("tag", "part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = members.join(sizes, ["tag", "part"]).join(links.classes.select("rep", "n", "signature"), ["rep", "n"])
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
+    percent = links.percent
+    large = links.table(members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1"), "large")
+    rows = members.join(if_small(large), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).join(links.classes.select("c", "signature"), "c")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        F.xxhash64("tag", "part", low, high).alias("key"), (F.col("own") == F.col("other")).alias("one_block"), F.col("own").alias("side"),
-        "tag", "rep", "n", "common", "sketch", "component", "signature",
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"), (F.col("own") == F.col("other")).alias("one_block"), F.col("own").alias("side"),
+        F.shiftright("key", 48).cast("int").alias("tag"), "c", F.col("n").cast("long").alias("n"), F.col("common").cast("long").alias("common"), "component", "signature",
     )
-    by_key = lambda df: df.repartition("key").sortWithinPartitions("key", "rep")
+    by_group = lambda df: df.repartition("group").sortWithinPartitions("group", "c")
 
     def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in bucket_runs(batches):
@@ -276,35 +290,47 @@ def links_across(links: NearLinks, members: DataFrame, block: int = 512) -> Data
 
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in bucket_runs(batches):
-            sets = table.column("shingles").to_numpy()
+            sets, c = table.column("shingles").to_numpy(), table.column("c").to_numpy()
             found = []
             for i, j in candidates(table, percent):
                 for a, b in zip(i.tolist(), j.tolist(), strict=True):
                     shared = np.intersect1d(sets[a], sets[b], assume_unique=True).size
                     if shared * 100 >= (len(sets[a]) + len(sets[b]) - shared) * percent:
-                        found.append((a, b))
-            ends = [table.column("rep").take(pa.array([f[k] for f in found], pa.int64())).combine_chunks() for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([e.chunk(0) if isinstance(e, pa.ChunkedArray) else e for e in ends], names=["a", "b"])
+                        found.append((min(c[a], c[b]), max(c[a], c[b])))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    kept = links.table(by_group(rows).mapInArrow(promising, rows.schema), "promising")
+    with_sets = kept.join(links.table(links.shingles(kept), "shingles"), "c")
+    return by_group(with_sets).mapInArrow(confirmed, "a long, b long").distinct()
 
-    kept = materialise(by_key(rows).mapInArrow(promising, rows.schema), "promising")
-    with_sets = kept.join(materialise(links.shingles(kept), "shingles"), "rep")
-    return by_key(with_sets).mapInArrow(confirmed, f"a {id_type}, b {id_type}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+def judged_rows(docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int) -> DataFrame:
+    """(id, version: a hash of the text, n, node: the number of the row's component, component_id) of every row."""
+    text = F.col(f"`{text_col}`")
+    links = NearLinks(docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("version"), text.alias("text")), percent, shingle)
+    nodes = linked_classes(links)
+    placed = links.classes.select("f1", "f2", "c", "rep").join(nodes.withColumnRenamed("node", "c"), "c", "left").withColumn("node", F.coalesce("component", "c")).drop("component", "c")
+    placed = links.table(placed, "placed")
+    least = placed.groupBy("node").agg(F.min("rep").alias("component_id"))
+    named = materialise(placed.join(least, "node").drop("rep"), "named")
+    links.clear()
+    rows = links.rows.select("id", "version", "n", "f1", "f2").join(named, ["f1", "f2"], "left")
+    linked = (F.col("n") > 0) & F.col("id").isNotNull()
+    return rows.select("id", "version", "n", F.when(linked, F.col("node")).alias("node"), F.when(linked, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, shingle: int = 5) -> DataFrame:
     """Per row of docs: id_col, n_shingles, component_id (smallest id reachable over links) and kept."""
-    links = NearLinks(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), percent, shingle)
-    nodes = linked_classes(links)
-    classes = links.classes.select("f1", "f2", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
-    rows = links.rows.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
-    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
-    out = rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return out.withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents whose id is their component's; of rows that repeat, one; rows with a null id all stay."""
-    judged = near_duplicates(docs, id_col, **options).filter("kept").select(F.col(f"`{id_col}`").alias("__kept")).distinct()
-    joined = docs.join(judged, F.col(f"`{id_col}`").eqNullSafe(F.col("__kept")), "left_semi")
-    nulls, rest = joined.filter(F.col(f"`{id_col}`").isNull()), joined.filter(F.col(f"`{id_col}`").isNotNull())
-    return rest.dropDuplicates([id_col]).unionByName(nulls).select(*without(docs))
+    rows = judged_rows(docs, id_col, text_col, percent, shingle)
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, shingle: int = 5) -> DataFrame:
+    """One document of each component, one with its smallest id; of other rows that repeat whole (id and text), one; rows with a null id all stay."""
+    rows = judged_rows(docs, id_col, text_col, percent, shingle).filter("id is not null and id = component_id")
+    chosen = rows.groupBy("id", "node", F.when(F.col("node").isNull(), F.col("version")).alias("empty")).agg(F.min("version").alias("version"))
+    chosen = chosen.select(F.col("id").alias("__id"), F.col("version").alias("__version"))
+    version = F.xxhash64(F.col(f"`{text_col}`"))
+    marked = docs.withColumn("__of", version)
+    kept = marked.join(chosen, (F.col(f"`{id_col}`") == F.col("__id")) & (F.col("__of") == F.col("__version")), "left_semi")
+    return kept.dropDuplicates([id_col, "__of"]).unionByName(marked.filter(F.col(f"`{id_col}`").isNull())).select(*without(docs))
