@@ -2,6 +2,10 @@
 
 A level holds one bit of every value, in the order in which the levels before left the values (zeros before
 ones). rank, access, count and select take whole arrays of queries.
+
+The file format keeps what these need: a plane is cut into chunks, each compressed on its own, and before them
+stands a directory with every chunk's place and the number of set bits before it. A matrix read from a file
+unpacks only the chunks that a query touches.
 """
 
 from __future__ import annotations
@@ -11,34 +15,95 @@ import struct
 import numpy as np
 import zstandard
 
-MAGIC = b"LWM1"
+MAGIC = b"LWM2"
 #: numpy's 64-bit words are read little-endian everywhere.
 WORD = np.dtype("<u8")
+#: Words of a chunk of the file: 32 KiB, 262,144 bits.
+CHUNK = 4096
+
+
+class Plane:
+    """Words of one level, and ones[w]: the set bits before word w."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.ones = np.concatenate(([0], np.cumsum(np.bitwise_count(words), dtype=np.int64)))
+
+    def load(self, words: np.ndarray | None = None) -> None:
+        """Have these words and their counts ready."""
+
+    def word_of(self, which: np.ndarray, one: int) -> np.ndarray:
+        """The word that holds the which-th set (or clear) bit."""
+        ahead = self.ones if one else np.arange(len(self.ones)) * 64 - self.ones
+        return np.searchsorted(ahead, which, side="right") - 1
+
+    def to_bytes(self) -> bytes:
+        packer = zstandard.ZstdCompressor(level=1)
+        bodies = [packer.compress(self.words[at : at + CHUNK].tobytes()) for at in range(0, len(self.words), CHUNK)]
+        places = np.cumsum([0, *map(len, bodies)], dtype="<u4")
+        before = np.append(self.ones[:-1:CHUNK], self.ones[-1]).astype("<u4")
+        return b"".join([struct.pack("<II", len(self.words), len(bodies)), places.tobytes(), before.tobytes(), *bodies])
+
+
+class FilePlane(Plane):
+    """A plane in a file; chunks are unpacked when they are asked for."""
+
+    def __init__(self, data: memoryview):
+        n, chunks = struct.unpack_from("<II", data)
+        self.places = np.frombuffer(data, "<u4", chunks + 1, 8)
+        self.before = np.frombuffer(data, "<u4", chunks + 1, 8 + 4 * (chunks + 1)).astype(np.int64)
+        self.body = data[8 + 8 * (chunks + 1) :]
+        self.words, self.ones, self.loaded = np.zeros(n, WORD), np.zeros(n + 1, np.int64), np.zeros(chunks, bool)
+        self.ones[-1] = self.before[-1]
+
+    @property
+    def size(self) -> int:
+        return 8 + 8 * len(self.places) + int(self.places[-1])
+
+    def load(self, words: np.ndarray | None = None) -> None:
+        wanted = np.arange(len(self.loaded)) if words is None else np.unique(np.minimum(words, len(self.words) - 1) // CHUNK)
+        for c in wanted[~self.loaded[wanted]].tolist():
+            own = slice(c * CHUNK, min((c + 1) * CHUNK, len(self.words)))
+            self.words[own] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.body[self.places[c] : self.places[c + 1]]), WORD)
+            self.ones[own.start + 1 : own.stop + 1] = self.before[c] + np.cumsum(np.bitwise_count(self.words[own]), dtype=np.int64)
+            self.ones[own.start] = self.before[c]
+            self.loaded[c] = True
+
+    def word_of(self, which: np.ndarray, one: int) -> np.ndarray:
+        ahead = self.before if one else np.minimum(np.arange(len(self.before)) * CHUNK, len(self.words)) * 64 - self.before
+        chunk, out = np.searchsorted(ahead, which, side="right") - 1, np.empty(len(which), np.int64)
+        for c in np.unique(chunk).tolist():
+            at = np.arange(c * CHUNK, min((c + 1) * CHUNK, len(self.words)))
+            self.load(at[:1])
+            inside = self.ones[at] if one else at * 64 - self.ones[at]
+            out[chunk == c] = at[0] + np.searchsorted(inside, which[chunk == c], side="right") - 1
+        return out
 
 
 class WaveletMatrix:
-    """Bit-planes from the highest bit to the lowest; ones[l][w] counts the set bits before word w of plane l."""
+    """Planes from the highest bit to the lowest, and how many values have a zero there."""
 
-    def __init__(self, length: int, planes: list[np.ndarray], zeros: list[int]):
+    def __init__(self, length: int, planes: list[Plane], zeros: list[int]):
         self.length, self.planes, self.zeros = length, planes, zeros
-        self.ones = [np.concatenate(([0], np.cumsum(np.bitwise_count(p), dtype=np.int64))) for p in planes]
 
     @classmethod
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
-        planes, zeros, values = [], [], np.ascontiguousarray(values)
+        planes, zeros = [], []
+        values = np.ascontiguousarray(values, np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits - 1, -1, -1):
-            bit = ((values >> values.dtype.type(level)) & values.dtype.type(1)).astype(bool)
+            bit = values & values.dtype.type(1 << level) != 0
             packed = np.packbits(bit, bitorder="little")
-            planes.append(np.pad(packed, (0, -len(packed) % 8 + 8)).view(WORD))
-            below = values[~bit]
+            planes.append(Plane(np.pad(packed, (0, -len(packed) % 8 + 8)).view(WORD)))
+            below, above = np.flatnonzero(~bit), np.flatnonzero(bit)
             zeros.append(len(below))
-            values = np.concatenate((below, values[bit]))
+            values = np.concatenate((values[below], values[above]))
         return cls(len(values), planes, zeros)
 
     def _rank1(self, level: int, at: np.ndarray) -> np.ndarray:
-        word, bit = at >> 6, (at & 63).astype(np.uint64)
-        below = self.planes[level][word] & ((np.uint64(1) << bit) - np.uint64(1))
-        return self.ones[level][word] + np.bitwise_count(below)
+        plane, word, bit = self.planes[level], at >> 6, (at & 63).astype(np.uint64)
+        plane.load(word)
+        below = plane.words[word] & ((np.uint64(1) << bit) - np.uint64(1))
+        return plane.ones[word] + np.bitwise_count(below)
 
     def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol stands before its position."""
@@ -55,7 +120,7 @@ class WaveletMatrix:
         at, out = np.asarray(at, np.int64), np.zeros(len(at), np.int64)
         for level in range(len(self.planes)):
             before = self._rank1(level, at)
-            one = (self.planes[level][at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+            one = (self.planes[level].words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
             at = np.where(one, self.zeros[level] + before, at - before)
             out = out << 1 | one
         return out
@@ -79,31 +144,32 @@ class WaveletMatrix:
 
     def _select_bit(self, level: int, one: int, which: np.ndarray) -> np.ndarray:
         """Where the which-th set (or clear) bit of a plane stands."""
-        ahead = self.ones[level] if one else np.arange(len(self.ones[level])) * 64 - self.ones[level]
-        word = np.searchsorted(ahead, which, side="right") - 1
-        left = which - ahead[word]
-        plane = self.planes[level][word] if one else ~self.planes[level][word]
-        bits = np.unpackbits(plane.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        plane = self.planes[level]
+        word = plane.word_of(which, one)
+        plane.load(word)
+        left = which - (plane.ones[word] if one else word * 64 - plane.ones[word])
+        words = plane.words[word] if one else ~plane.words[word]
+        bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         return word * 64 + np.argmax(np.cumsum(bits, axis=1) == left[:, None] + 1, axis=1)
 
     def to_array(self) -> np.ndarray:
         """All values in order, by undoing the partitions from the last level up."""
-        values = np.zeros(self.length, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        values = np.zeros(self.length, kind)
         for level in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level].view(np.uint8), count=self.length, bitorder="little").astype(bool)
-            above = np.empty_like(values)
-            above[~bit] = values[: self.zeros[level]]
-            above[bit] = values[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            self.planes[level].load()
+            bit = np.unpackbits(self.planes[level].words.view(np.uint8), count=self.length, bitorder="little").view(bool)
+            above, zeros = np.empty_like(values), self.zeros[level]
+            above[np.flatnonzero(~bit)] = values[:zeros]
+            above[np.flatnonzero(bit)] = values[zeros:] | kind(1 << (len(self.planes) - 1 - level))
             values = above
         return values
 
     def to_bytes(self) -> bytes:
-        """The file format: magic, length, levels; for each level the zeros, the packed size and the zstd plane."""
-        packer = zstandard.ZstdCompressor(level=1)
+        """The file format: magic, length, levels; for each level the zeros, and the plane with its directory."""
         out = [MAGIC, struct.pack("<QI", self.length, len(self.planes))]
         for plane, zeros in zip(self.planes, self.zeros, strict=True):
-            body = packer.compress(plane.tobytes())
-            out += [struct.pack("<QQ", zeros, len(body)), body]
+            out += [struct.pack("<Q", zeros), plane.to_bytes()]
         return b"".join(out)
 
     @classmethod
@@ -114,8 +180,7 @@ class WaveletMatrix:
         length, levels = struct.unpack_from("<QI", view, 4)
         at, planes, zeros = 16, [], []
         for _ in range(levels):
-            z, size = struct.unpack_from("<QQ", view, at)
-            planes.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(view[at + 16 : at + 16 + size]), WORD))
-            zeros.append(z)
-            at += 16 + size
+            zeros.append(struct.unpack_from("<Q", view, at)[0])
+            planes.append(FilePlane(view[at + 8 :]))
+            at += 8 + planes[-1].size
         return cls(length, planes, zeros)

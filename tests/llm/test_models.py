@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from lodestone.llm import quality, toxicity
 from lodestone.llm.features import ShapeNgrams, Sparse, WordIndicators
 from lodestone.llm.fm_index import FMIndex
 from lodestone.llm.pieces import encode_decode, model_of
-from lodestone.llm.token_shards import pieces, store_of, token_shards
+from lodestone.llm.token_shards import Encoder, token_shards
 from lodestone.llm.wavelet import WaveletMatrix
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -52,9 +53,26 @@ def test_encoders_equal_the_libraries(text):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     ids, counts = store.texts([model.words(text)])
     assert ids.tolist() == sp.encode(text) and model.decode(ids, counts) == [sp.decode(sp.encode(text))]
-    library = Tokenizer.from_file(BPE)
-    library.encode_special_tokens = True
-    assert store_of(BPE)[0].texts([pieces(text)])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+ENCODER, LIBRARY = Encoder(BPE, pieces=300, words=100), Tokenizer.from_file(BPE)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"abcÉ  \n\n\t\r\x85é中🦊<|>1-th's.,", "<|endoftext|>", "\n \n", "it's", "can't", " 12", "%%", " a", "\nb"]), max_size=40).map("".join), max_size=8))
+def test_token_ids_equal_the_library(texts):
+    flat, counts = ENCODER(pa.array([*texts, None], pa.string()))
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [*map(len, want), 0] and flat.tolist() == [i for x in want for i in x]
+
+
+def test_token_ids_of_long_texts():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("etaoinsréñ") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ",", "!%", "'s", "7"])
+    texts = [rng.choice([" ", "\n", "\n\n", " "]).join(word() for _ in range(rng.randint(0, 300))) for _ in range(30)] + ["x " * 300_000, "y" * 20_000]
+    flat, counts = ENCODER(pa.array(texts))
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, want)) and flat.tolist() == [i for x in want for i in x]
 
 
 def test_store_shrinks():
@@ -66,11 +84,33 @@ def test_store_shrinks():
         assert ids.tolist() == [7, i, 7, i + 1, i + 1, i + 1] and counts.tolist() == [3, 0, 3]
 
 
+def test_wavelet_file_unpacks_only_what_is_asked():
+    v = np.random.default_rng(2).integers(0, 1 << 10, 900_000).astype(np.uint32)
+    data = WaveletMatrix.build(v, 10).to_bytes()
+    w, loaded = WaveletMatrix.from_bytes(data), lambda w: sum(int(p.loaded.sum()) for p in w.planes)
+    assert w.access(np.array([5, 700_000])).tolist() == v[[5, 700_000]].tolist() and loaded(w) <= 20 < sum(len(p.loaded) for p in w.planes)
+    w = WaveletMatrix.from_bytes(data)
+    assert w.count(77) == int((v == 77).sum()) and w.select(77, np.array([3]))[0] == np.flatnonzero(v == 77)[3] and loaded(w) <= 60
+    w = WaveletMatrix.from_bytes(data)
+    assert (w.select(77, np.arange(w.count(77))) == np.flatnonzero(v == 77)).all() and (w.to_array() == v).all()
+
+
+def test_rows_of_one_id_are_ordered_by_text_over_partitions(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab ") for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    docs = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = sorted(token_shards(docs, BPE).collect(), key=lambda r: r["start"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [bytes(r["tokens"]) for r in rows] == [np.array([*LIBRARY.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for t in sorted(texts)]
+
+
 def test_token_shards_round_trip(spark):
-    texts = [*ODD_TEXTS, None]
-    docs = spark.createDataFrame([(100 - i, t, "x") for i, t in enumerate(texts)] + [(None, "null id", "x"), (3, "twice", "x"), (3, "twice", "x")], "doc_id long, text string, start string")
+    texts = [*ODD_TEXTS, None, "a<|endoftext|>b"]
+    docs = spark.createDataFrame([(100 - i, t, "x") for i, t in enumerate(texts)] + [(None, "null id", "x"), (3, "twice", "x"), (3, "twice", "x"), (3, None, "x")], "doc_id long, text string, start string")
     library = Tokenizer.from_file(BPE)
-    library.encode_special_tokens = True
     want, start = [], 0
     for i, t in sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1] or "")):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
