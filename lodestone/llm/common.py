@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
@@ -59,6 +62,21 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """As mapInArrow, for any column names (it can't take names with dots)."""
+    names = df.columns
+    renamed = lambda batches: run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(df: DataFrame, *names: str) -> list[Column]:
     """All columns of df but those named, quoted so that dots in names do no harm."""
     gone = set(names)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import map_arrow, without
 from .fm_index import FMIndex
 
 #: Bytes that are no part of a word are made spaces, A-Z lower case; words are digits, a-z and all beyond ASCII.
@@ -161,9 +161,9 @@ def find_contamination(
     arrow = pa.schema([("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.string()))])
 
     def one(block: int) -> DataFrame:
-        own = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
+        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         phrases = Phrases(((r["item"], r["text"]) for r in own), window)
-        return plain.mapInArrow(lambda b: scan(b, phrases, text_col, shard_symbols, arrow), schema)
+        return map_arrow(plain, lambda b: scan(b, phrases, text_col, shard_symbols, arrow), schema)
 
     if blocks == 1:
         return one(0)
@@ -218,4 +218,4 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
             columns[text_col] = pa.array(list(map(cut_spans, texts, spans)), pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return found.mapInArrow(cut, schema)
+    return map_arrow(found, cut, schema)

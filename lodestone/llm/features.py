@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import map_arrow, without
 
 WORD = re.compile(r"\w+")
 RUN = re.compile(r"[^\W\d_]+|\d+|[\W_]+")
@@ -49,8 +49,8 @@ def word_features(token: str) -> list[int]:
 
 def shape_of(token: str) -> int:
     """The token's shape as one number: letters by case, digits, and its other characters as they are."""
-    marks = (("a" if run != run.upper() else "A") if run[0].isalpha() else "0" if run[0].isdigit() else run for run in RUN.findall(token[:64]))
-    return 1 + crc32("".join(marks)[:6].encode("utf-8", "surrogatepass")) % (SHAPES - 1)
+    marks = (("a" if run != run.upper() else "A") if run[0].isalpha() else "0" if run[0].isdigit() else run for run in RUN.findall(token))
+    return 1 + crc32("".join(marks).encode("utf-8", "surrogatepass")) % (SHAPES - 1)
 
 
 class WordIndicators:
@@ -106,25 +106,35 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
         .groupBy("__id").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
     )
-    return docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("__id", "text", "y")
+    return docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(drawn), "__id")
 
 
-def collected(sample: DataFrame, kind: type, variants: Callable[[str], list[str]] | None = None) -> tuple[list[np.ndarray], np.ndarray, list[list[np.ndarray]]]:
-    """The sample's features on the driver (bounded by the sample's size): rows, labels, rows of each text's variants."""
+#: Features that a variant of a text has more, and those that it lacks.
+Change = tuple[np.ndarray, np.ndarray]
+
+
+def change(x: np.ndarray, variant: np.ndarray) -> Change:
+    return np.setdiff1d(variant, x, assume_unique=True), np.setdiff1d(x, variant, assume_unique=True)
+
+
+def collected(sample: DataFrame, kind: type, variants: Callable[[str], list[str]] | None = None) -> tuple[list[np.ndarray], np.ndarray, list[list[Change]]]:
+    """The sample's features on the driver (bounded by the sample's size): rows, labels, what each text's variants change."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = kind()
-        encode = lambda text: features(text).astype("<i4").tobytes()
+        encode = lambda found: found.astype("<i4").tobytes()
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            others = [[encode(v) for v in variants(t or "")] if variants else [] for t in texts]
-            columns = [batch.column("__id"), batch.column("y"), pa.array(list(map(encode, texts)), pa.binary()), pa.array(others, pa.list_(pa.binary()))]
+            own = [features(t) for t in texts]
+            others = [[encode(part) for v in variants(t or "") for part in change(x, features(v))] if variants else [] for t, x in zip(texts, own, strict=True)]
+            columns = [batch.column("__id"), batch.column("y"), pa.array(list(map(encode, own)), pa.binary()), pa.array(others, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "x", "others"])
 
     id_type = sample.schema["__id"].dataType.simpleString()
     rows = sorted(sample.mapInArrow(extract, f"id {id_type}, y int, x binary, others array<binary>").collect(), key=lambda r: (r["id"], bytes(r["x"])))
     read = lambda b: np.frombuffer(b, "<i4")
-    return [read(r["x"]) for r in rows], np.array([r["y"] for r in rows], np.int64), [[read(o) for o in r["others"]] for r in rows]
+    changes = [[(read(r["others"][i]), read(r["others"][i + 1])) for i in range(0, len(r["others"]), 2)] for r in rows]
+    return [read(r["x"]) for r in rows], np.array([r["y"] for r in rows], np.int64), changes
 
 
 class Sparse:
@@ -177,4 +187,4 @@ def score(docs: DataFrame, kind: type, weights: dict[int, float], bias: float, s
             columns = [pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
 
-    return plain.mapInArrow(run, schema)
+    return map_arrow(plain, run, schema)

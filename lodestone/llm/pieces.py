@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import without
+from .common import map_arrow, without
 from .wordstore import WordStore, small_slices
 
 SPACE = "▁"
@@ -168,4 +168,4 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
                 columns = [pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))), pa.array(counts, pa.int64()), pa.array(model.decode(ids, counts), pa.string())]
                 yield pa.RecordBatch.from_arrays([*piece.columns, *columns], names=[*piece.schema.names, *NEW])
 
-    return plain.mapInArrow(run, schema)
+    return map_arrow(plain, run, schema)

@@ -1,9 +1,11 @@
 """Operator 1, toxicity: a counterfactually regularised linear classifier.
 
-Identity terms in labelled texts are swapped for other terms of their group, and the change of score that a
-swap makes is penalised with the logistic loss, so that neutral mentions of a group do not raise a score.
+Identity terms in labelled texts are swapped for other terms of their group; into a labelled text without any, two terms
+of one group are put in turn. The change of score that this makes is penalised beside the logistic loss, so that neutral
+mentions of a group do not raise a score, be it by the terms themselves or by what they share with other words.
 Weights are sparse (L1) over words and word beginnings. Trained on the driver by accelerated proximal
-gradient on at most max_rows labelled rows (the documented bound); every text is scored whole.
+gradient on at most max_rows labelled rows (the documented bound); every text is scored whole. The model tells how many
+counterfactual pairs it was fitted with and the mean squared change of score that they have left.
 
 Defined cases: a null or empty text gets the score of the bias; without labelled rows, or with one class
 alone, the score is the share of toxic labels (0 without any); rows that repeat are scored alike; an empty
@@ -14,11 +16,12 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .features import Sparse, WordIndicators, collected, fold, score, sigmoid, training_sample
+from .features import Change, Sparse, WordIndicators, collected, fold, score, sigmoid, training_sample
 
 #: Groups of identity terms that stand for each other in counterfactuals; a parameter of train().
 IDENTITY_GROUPS = (
@@ -74,10 +77,29 @@ IDENTITY_GROUPS = (
 class ToxicityModel:
     weights: dict[int, float]
     bias: float
+    pairs: int = 0
+    change: float = 0.0
+
+
+def counterfactuals(groups: tuple[tuple[str, ...], ...]):
+    """A function that gives the counterfactuals of a text.
+
+    All its identity terms moved on by one in their group, and back by one; for a text without terms, two neighbours of one
+    group put in turn between its words, group and place by a hash of the text.
+    """
+    swap = swapper(groups)
+
+    def variants(text: str) -> list[str]:
+        draw = crc32(text.encode("utf-8", "surrogatepass"))
+        group, words = groups[draw % len(groups)], text.split(" ")
+        at, first = draw // 997 % (len(words) + 1), draw // 89 % len(group)
+        return swap(text) or [" ".join([*words[:at], group[(first + k) % len(group)], *words[at:]]) for k in (0, 1)]
+
+    return variants
 
 
 def swapper(groups: tuple[tuple[str, ...], ...]):
-    """A function that gives the counterfactuals of a text: all its identity terms moved on by one, and back by one."""
+    """A function that moves all identity terms of a text on by one, and back by one; nothing for a text without any."""
     where = {term: (group, i) for group in groups for i, term in enumerate(group)}
     pattern = re.compile(r"\b(" + "|".join(sorted(map(re.escape, where), key=len, reverse=True)) + r")\b", re.IGNORECASE)
 
@@ -91,48 +113,45 @@ def swapper(groups: tuple[tuple[str, ...], ...]):
     return lambda text: [swapped(text, 1), swapped(text, -1)] if pattern.search(text) else []
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, others: list[list[np.ndarray]], l1: float = 1e-3, counterfactual: float = 1.0, min_rows: int = 4, steps: int = 200) -> ToxicityModel:
-    """Minimise mean class-balanced logistic loss + counterfactual / 2 * mean squared score change + l1 * |w|."""
+def fit(rows: list[np.ndarray], y: np.ndarray, changes: list[list[Change]], l1: float = 1e-3, counterfactual: float = 1.0, min_rows: int = 4, steps: int = 200) -> ToxicityModel:
+    """Minimise mean class-balanced logistic loss + counterfactual / 2 * mean squared score change + l1 * |w|.
+
+    changes: for each row its counterfactuals, as the features that a counterfactual has more and those it lacks.
+    """
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return ToxicityModel({}, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     x = Sparse(rows, WordIndicators.size, min_rows)
-    pairs = [(i, o) for i, os in enumerate(others) for o in os]
-    a = Sparse([rows[i] for i, _ in pairs], WordIndicators.size, columns=x.columns)
-    b = Sparse([o for _, o in pairs], WordIndicators.size, columns=x.columns)
+    pairs = [c for own in changes for c in own]
+    more, less = (Sparse([c[k] for c in pairs], WordIndicators.size, columns=x.columns) for k in (0, 1))
     n, m = len(y), max(1, len(pairs))
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both classes count alike
+    change_of = lambda w: more.dot(w) - less.dot(w)
 
-    def gradient(w: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
-        r = weight * (sigmoid(x.dot(w) + bias) - y) / n
-        g = x.back(r)
-        if pairs:
-            change = counterfactual / m * (a.dot(w) - b.dot(w))
-            g += a.back(change) - b.back(change)
-        return g, r.sum()
+    def penalty_slope(w: np.ndarray) -> np.ndarray:
+        change = counterfactual / m * change_of(w)
+        return more.back(change) - less.back(change)
 
     v = np.ones(len(x.columns))
     for _ in range(12):  # the largest curvature, for the step
         v /= np.linalg.norm(v) or 1
-        u = 0.25 / n * x.back(weight * x.dot(v))
-        if pairs:
-            d = a.dot(v) - b.dot(v)
-            u += counterfactual / m * (a.back(d) - b.back(d))
-        v, top = u, np.linalg.norm(u)
+        v = 0.25 / n * x.back(weight * x.dot(v)) + penalty_slope(v)
+        top = np.linalg.norm(v)
     step = 1 / (1.1 * top + 0.25)
     w = ahead = np.zeros(len(x.columns))
     bias = bias_ahead = 0.0
     t = 1.0
     for _ in range(steps):
-        g, gb = gradient(ahead, bias_ahead)
-        z = ahead - step * g
+        r = weight * (sigmoid(x.dot(ahead) + bias_ahead) - y) / n
+        z = ahead - step * (x.back(r) + penalty_slope(ahead))
         new = np.sign(z) * np.maximum(np.abs(z) - step * l1, 0)
-        new_bias = bias_ahead - step * gb
+        new_bias = bias_ahead - step * r.sum()
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, bias_ahead = new + (t - 1) / t_new * (new - w), new_bias + (t - 1) / t_new * (new_bias - bias)
         w, bias, t = new, new_bias, t_new
     used = np.flatnonzero(w)
-    return ToxicityModel(dict(zip(x.columns[used].tolist(), w[used].tolist(), strict=True)), float(bias))
+    left = float(np.mean(change_of(w) ** 2)) if pairs else 0.0
+    return ToxicityModel(dict(zip(x.columns[used].tolist(), w[used].tolist(), strict=True)), float(bias), len(pairs), left)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, folds: int = 5, held_out: int = 0, groups=IDENTITY_GROUPS, **options) -> ToxicityModel:
@@ -140,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, folds: int
     from pyspark.sql import functions as F
 
     sample = training_sample(docs, labels, "toxic", fold(F.col("doc_id"), folds) != held_out, max_rows)
-    return fit(*collected(sample, WordIndicators, swapper(groups)), **options)
+    return fit(*collected(sample, WordIndicators, counterfactuals(groups)), **options)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

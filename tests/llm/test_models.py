@@ -10,10 +10,11 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodestone.llm import quality, toxicity
-from lodestone.llm.features import ShapeNgrams, Sparse, WordIndicators
+from lodestone.llm.features import ShapeNgrams, Sparse, WordIndicators, change, collected, fold, sigmoid, training_sample
 from lodestone.llm.fm_index import FMIndex
 from lodestone.llm.pieces import encode_decode, model_of
 from lodestone.llm.token_shards import Encoder, token_shards
@@ -148,11 +149,11 @@ def test_counterfactuals_free_identity_terms():
     rows = sentences(600, 1, told=0.5)
     f, swap = WordIndicators(), toxicity.swapper(toxicity.IDENTITY_GROUPS)
     x, y = [f(t) for _, t, _ in rows], np.array([b for _, _, b in rows])
-    others = [[f(v) for v in swap(t)] for _, t, _ in rows]
+    others = [[change(f(t), f(v)) for v in swap(t)] for _, t, _ in rows]
     score = lambda m, t: sum(m.weights.get(int(k), 0.0) for k in f(t)) + m.bias
     free, plain = toxicity.fit(x, y, others, counterfactual=30.0), toxicity.fit(x, y, [[] for _ in x])
-    change = lambda m: abs(score(m, "the muslims met") - score(m, "the hindus met"))
-    assert change(free) < 0.5 * change(plain) and change(plain) > 0.2
+    moved = lambda m: abs(score(m, "the muslims met") - score(m, "the hindus met"))
+    assert moved(free) < 0.5 * moved(plain) and moved(plain) > 0.2
     told = [t for _, t, b in sentences(300, 2) if b]
     neutral = [t for _, t, b in sentences(300, 3) if not b and swap(t)]
     assert np.mean([score(free, t) >= 0 for t in told]) > 0.9
@@ -166,11 +167,84 @@ def test_counterfactuals_work_at_the_default_weight(terms):
     rows = [(" ".join(named.get(w, w) for w in t.split()), b) for _, t, b in sentences(600, 1, told=0.5)]
     f, swap = WordIndicators(), toxicity.swapper(toxicity.IDENTITY_GROUPS)
     x, y = [f(t) for t, _ in rows], np.array([b for _, b in rows])
-    free, plain = toxicity.fit(x, y, [[f(v) for v in swap(t)] for t, _ in rows]), toxicity.fit(x, y, [[] for _ in x])
+    free, plain = toxicity.fit(x, y, [[change(f(t), f(v)) for v in swap(t)] for t, _ in rows]), toxicity.fit(x, y, [[] for _ in x])
     score = lambda m, t: sum(m.weights.get(int(k), 0.0) for k in f(t)) + m.bias
     for term in terms:
-        change = lambda m: abs(score(m, f"x {term} y") - score(m, swap(f"x {term} y")[0]))  # noqa: B023, E731
-        assert change(plain) > 0.2 and change(free) < 0.1 * change(plain)
+        moved = lambda m: abs(score(m, f"x {term} y") - score(m, swap(f"x {term} y")[0]))  # noqa: B023, E731
+        assert moved(plain) > 0.2 and moved(free) < 0.1 * moved(plain)
+
+
+def test_counterfactuals_of_texts_without_terms():
+    variants = toxicity.counterfactuals(toxicity.IDENTITY_GROUPS)
+    for text in ("", "a b c", "no such term in this"):
+        one, two = variants(text)
+        terms = [next(w for w in v.split(" ") if w and w not in text.split(" ")) for v in (one, two)]
+        assert terms[0] != terms[1] and any(set(terms) <= set(g) for g in toxicity.IDENTITY_GROUPS)
+        assert [w for w in one.split(" ") if w != terms[0]] == text.split(" ")
+    assert variants("Gay men") == ["lesbian women", "transgender women"]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_the_penalty_acts_on_the_given_tables(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows, y, changes = collected(training_sample(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0, 10_000), WordIndicators, toxicity.counterfactuals(toxicity.IDENTITY_GROUPS))
+    free, plain = toxicity.fit(rows, y, changes), toxicity.fit(rows, y, changes, counterfactual=0.0)
+    assert free.pairs == plain.pairs == 2 * len(y) > 0 and free.change < 0.7 * plain.change
+
+
+def brute_toxicity(x, y, more, less, l1, weight):
+    """Plain proximal gradient on dense matrices, many small steps."""
+    w, bias = np.zeros(x.shape[1]), 0.0
+    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    step = 1 / (0.25 * np.linalg.norm(x.T @ (x * balance[:, None] / len(y)), 2) + weight * np.linalg.norm((more - less).T @ (more - less) / len(more), 2) + 0.5)
+    for _ in range(60_000):
+        r = balance * (sigmoid(x @ w + bias) - y) / len(y)
+        z = w - step * (x.T @ r + weight / len(more) * (more - less).T @ ((more - less) @ w))
+        w, bias = np.sign(z) * np.maximum(np.abs(z) - step * l1, 0), bias - step * r.sum()
+    loss = (balance * np.logaddexp(0, -(2 * y - 1) * (x @ w + bias))).mean() + l1 * np.abs(w).sum() + weight / 2 * (((more - less) @ w) ** 2).mean()
+    return w, bias, loss
+
+
+def test_toxicity_fit_equals_a_plain_minimiser():
+    rng = np.random.default_rng(6)
+    x = (rng.random((90, 12)) < 0.4).astype(float)
+    y = (x[:, 0] + x[:, 1] + rng.random(90) > 1.1).astype(int)
+    other = x.copy()
+    other[:, 1], other[:, 2] = 0, 1
+    rows, others = ([np.flatnonzero(r) for r in m] for m in (x, other))
+    model = toxicity.fit(rows, y, [[change(a, b)] for a, b in zip(rows, others, strict=True)], l1=5e-3, counterfactual=0.7, min_rows=1, steps=6000)
+    w, bias, _ = brute_toxicity(x, y, np.maximum(other - x, 0), np.maximum(x - other, 0), 5e-3, 0.7)
+    assert np.allclose([model.weights.get(i, 0.0) for i in range(12)], w, atol=2e-3) and abs(model.bias - bias) < 2e-3
+
+
+def test_quality_fit_equals_a_plain_minimiser():
+    rng = np.random.default_rng(7)
+    dense = (rng.random((60, 9)) < 0.4).astype(float)
+    dense[:, 8] = 1
+    y = (dense[:, 0] - dense[:, 1] + 0.6 * rng.random(60) > 0.3).astype(int)
+    x = Sparse([np.flatnonzero(r) for r in dense], 9)
+    r = quality.log_count_ratio(x, y)
+    p, q = 1 + dense[y == 1].sum(axis=0), 1 + dense[y == 0].sum(axis=0)
+    assert np.allclose(r, np.log((p / p.sum()) / (q / q.sum())))
+    found = quality.dual_coordinate_descent(x, r, y, np.arange(60), c=0.3, epochs=3000)
+    scale = 1 / np.sqrt(max(1.0, (dense @ (r * r)).mean()))
+    z, sign = np.column_stack((dense * r * scale, np.ones(60))), 2.0 * y - 1
+    cost = 0.3 * np.where(sign > 0, 30 / (sign > 0).sum(), 30 / (sign < 0).sum())
+    loss = lambda w: w @ w / 2 + (cost * np.maximum(0, 1 - sign * (z @ w))).sum()
+    w = np.zeros(10)
+    for i in range(200_000):  # plain subgradient descent on the primal
+        active = sign * (z @ w) < 1
+        w -= (w - ((cost * sign)[active, None] * z[active]).sum(axis=0)) / (i + 2)
+    own = np.append(np.divide(found[:9], r * scale, out=np.zeros(9), where=r != 0), found[9])
+    assert loss(own) <= loss(w) + 1e-3 and abs(loss(own) - loss(w)) < 2e-2 * loss(w)
+
+
+def test_training_ignores_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, f"w{i % 3} vile" if i % 2 else "fine text", 9, 9, "x") for i in range(60)], "doc_id long, text string, y int, __id int, `a.b` string")
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2, "t") for i in range(60)], "doc_id long, toxic int, quality int, text string")
+    for module, score in ((toxicity, toxicity.score_toxicity), (quality, quality.score_quality)):
+        out = score(docs, module.train(docs, labels))
+        assert out.columns == [*docs.columns, "score", "predicted"] and out.count() == 60
 
 
 def test_identity_terms_are_in_one_group():
