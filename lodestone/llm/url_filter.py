@@ -1,26 +1,28 @@
 """Operator 10, URL filters: rules indexed by their rarest literal token.
 
 A rule has a host, a path prefix and an action. Every rule is filed under the one of its literal tokens
-that the URLs at hand hold least often; a URL's tokens fetch the rules filed under them, and only those
-rules run their regular expression. Everything is DataFrame operations.
+that the URLs at hand hold least often, which one aggregation counts; a URL's tokens fetch the rules filed under them,
+and only those rules run their regular expression. The index is a literal of the plan (the list of rules is a
+parameter), so every row is judged where it stands: no join, no shuffle of URLs. Everything is DataFrame operations.
 
 Defined cases: a null URL or one without "://" has empty host and path, fits no rule and gets the default;
 an empty table gives an empty table; repeated rows are judged alike; input columns called host, path, rule
-or verdict are replaced; of rules with equal host and path a block goes before an allow.
+or verdict are replaced; of rules with equal host and path a block goes before an allow; without rules all get the default.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, without
+from .common import ascii_lower, unused, without
 
 NEW = ("host", "path", "rule", "verdict")
-RULE_SCHEMA = "rule string, action string, regex string, length int, tokens array<string>"
+INDEX = "map<string, array<struct<length: int, blocks: boolean, rule: string, action: string, regex: string>>>"
 
 
 def parse_rule(action: str, rule: str) -> tuple[str, str, str, int, list[str]]:
@@ -50,28 +52,28 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?s:.*?)://[^/?#]*([^?#]*)", 1)
 
 
+def tokens_of(host: Column, path: Column) -> Column:
+    """A URL's distinct tokens: the labels of its host, the segments of its path, and the empty token, which all have."""
+    return F.array_distinct(F.concat(F.split(host, r"\."), F.split(path, "/"), F.array(F.lit(""))))
+
+
 def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], url_col: str = "url", default: str = "allow") -> DataFrame:
     """Judge each row's URL: adds host, path, rule (the longest that fits, else null) and verdict."""
-    spark = pages.sparkSession
-    rule_table = spark.createDataFrame([parse_rule(a, r) for a, r in rules], RULE_SCHEMA)
+    parsed_rules = [parse_rule(a, r) for a, r in rules]
     host, path = url_host(F.col(f"`{url_col}`")), url_path(F.col(f"`{url_col}`"))
     parsed = pages.select(*without(pages, *NEW), host.alias("host"), path.alias("path"))
 
-    words = F.array_distinct(F.concat(F.split("host", r"\."), F.split("path", "/"), F.array(F.lit(""))))
-    tokens = pages.select(host.alias("host"), path.alias("path")).distinct().select("host", "path", F.explode(words).alias("token"))
-
-    filed = rule_table.select("rule", "action", "regex", "length", F.explode("tokens").alias("token"))
-    counts = tokens.join(filed.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
-    rarest = Window.partitionBy("rule", "action").orderBy(F.coalesce("n", F.lit(0)), "token")
-    index = filed.join(counts, "token", "left").withColumn("rank", F.row_number().over(rarest)).filter("rank = 1").drop("rank", "n")
-
-    fits = tokens.join(index, "token").filter("concat(host, path) rlike regex")
-    best = fits.groupBy("host", "path").agg(F.max(F.struct("length", (F.col("action") == "block").alias("blocks"), "rule", "action")).alias("best"))
-    judged = parsed.join(best, ["host", "path"], "left")
-    return judged.select(
-        *without(pages, *NEW),
-        "host",
-        "path",
-        F.col("best.rule").alias("rule"),
-        F.coalesce(F.col("best.action"), F.lit(default)).alias("verdict"),
-    )
+    literal = lambda words: F.array(*map(F.lit, words)).cast("array<string>")
+    known = sorted({t for r in parsed_rules for t in r[4]})
+    held = pages.select(host.alias("host"), path.alias("path")).select(F.explode(F.array_intersect(tokens_of(F.col("host"), F.col("path")), literal(known))).alias("token"))
+    counts = {r["token"]: r["n"] for r in held.groupBy("token").agg(F.count("*").alias("n")).collect()} if known else {}
+    index: dict[str, list[dict]] = {}
+    for rule, action, regex, length, tokens in parsed_rules:
+        rarest = min(tokens, key=lambda t: (counts.get(t, 0), t))
+        index.setdefault(rarest, []).append({"length": length, "blocks": action == "block", "rule": rule, "action": action, "regex": regex})
+
+    table = F.from_json(F.lit(json.dumps(index)), INDEX)
+    fetched = F.flatten(F.transform(F.array_intersect(tokens_of(F.col("host"), F.col("path")), literal(sorted(index))), lambda t: F.element_at(table, t)))
+    best = unused(parsed, "best")
+    judged = parsed.withColumn(best, F.array_max(F.filter(fetched, lambda r: F.rlike(F.concat("host", "path"), r["regex"]))))
+    return judged.select(*without(pages, *NEW), "host", "path", F.col(f"{best}.rule").alias("rule"), F.coalesce(F.col(f"{best}.action"), F.lit(default)).alias("verdict"))
