@@ -3,8 +3,10 @@
 Values are found by one pattern, validated by kind, and replaced by a keyed permutation of the same format, so
 equal values have equal pseudonyms in all documents, and different values of a kind and format different ones:
 
-email   the local part's letters and digits (the domain stays)
-phone   the digits after the country code
+email   the local part's letters and digits (the domain stays); a local part with letters beyond ASCII becomes digits and
+        letters a to f of a keyed hash, at least 16 of them
+phone   the digits after the country code, whatever stands between them, so that a number's spellings stay linked; of a
+        national number, which begins with its area code in brackets, all digits
 ipv4    the 32-bit address (each part at most 255)
 card    13 to 19 digits that pass the Luhn check; the check digit is made anew, so the pseudonym passes too
 number  13 to 19 digits that don't
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 from .common import without
 
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\d)"
+#: Country codes of one and of two digits; all others have three.
+COUNTRY_CODE = r"^(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d)"
 SECRET = r"(?<![0-9A-Za-z])(?=[0-9]{0,63}[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
@@ -101,7 +105,7 @@ def kind_of(value: Column) -> Column:
     parts = F.split(value, r"\.")
     return (
         F.when(value.contains("@"), F.lit("email"))
-        .when(value.startswith("+"), F.lit("phone"))
+        .when(value.rlike(r"^[+(]"), F.lit("phone"))
         .when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), F.when(F.forall(parts, lambda p: p.cast("int") <= 255), F.lit("ipv4")))
         .when(value.rlike(f"^(?:{DATE})$"), F.when(F.year(_date(value)).between(1900, 2099), F.lit("date")))
         .when(value.rlike("[A-Fa-f]"), F.lit("secret"))
@@ -113,9 +117,12 @@ def kind_of(value: Column) -> Column:
 def pseudonym(value: Column, key: str) -> Column:
     """The value's pseudonym, or the value itself if it is not valid."""
     kind, digits = kind_of(value), F.regexp_replace(value, r"\D", "")
-    local, code = F.substring_index(value, "@", 1), F.regexp_extract(value, r"^\+\d{1,3}", 0)
-    email = F.concat(permute_text(local, key, "email"), F.substring(value, F.length(local) + 1, F.length(value)))
-    phone = F.concat(code, permute_text(F.substring(value, F.length(code) + 1, F.length(value)), key, "phone"))
+    local = F.substring_index(value, "@", 1)
+    hashed = F.substring(_digest(key, "email", F.lit(0), local), F.lit(1), F.greatest(F.lit(16), F.length(local)))
+    local = F.when(local.rlike(r"[^\x00-\x7F]"), hashed).otherwise(permute_text(local, key, "email"))
+    email = F.concat(local, F.substring(value, F.instr(value, "@"), F.length(value)))
+    code = F.when(value.startswith("+"), F.regexp_extract(digits, COUNTRY_CODE, 0)).otherwise("")
+    phone = with_digits(value, F.concat(code, permute_text(F.substring(digits, F.length(code) + 1, F.length(digits)), key, "phone")))
     octet = lambda n, i: F.pmod(F.shiftright(n, 24 - 8 * i), F.lit(256)).cast("string")
     address = F.aggregate(F.split(value, r"\."), F.lit(0).cast("long"), lambda acc, p: acc * 256 + p.cast("long"))
     moved = permute_number(address, 65536, 65536, key, "ipv4")

@@ -64,7 +64,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(load(spark, sf_dir, "documents").select("doc_id", "text"), "lodestone")
+    """The key is a secret of the deployment: spark.lodestone.pii.key, or a fixed one for tables that are made up."""
+    return pseudonymise(load(spark, sf_dir, "documents").select("doc_id", "text"), spark.conf.get("spark.lodestone.pii.key", "lodestone"))
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
