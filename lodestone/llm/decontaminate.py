@@ -150,7 +150,7 @@ def scan(batches: Iterator[pa.RecordBatch], phrases: Phrases, text_col: str, sha
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = 10, block_bytes: int = 16_000_000, shard_symbols: int = 1_000_000,
+    window: int = 10, block_bytes: int = 16_000_000, shard_symbols: int = 500_000,
 ) -> DataFrame:
     """Adds n_words, n_hit, spans (hit words as [start, stop) word numbers, merged) and items (names, sorted)."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").alias("text")).dropna()

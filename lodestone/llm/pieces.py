@@ -28,6 +28,8 @@ from .wordstore import WordStore, small_slices
 SPACE = "▁"
 NEW = ("ids", "n_tokens", "decoded")
 NONE = np.iinfo(np.int32).max
+#: Characters that are cut into words and encoded at a time; whole texts, so one may be longer.
+SLICE = 500_000
 
 
 class PieceModel:
@@ -162,7 +164,7 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, store = model_of(model_path)
         for batch in batches:
-            for piece, texts in small_slices(batch, text_col):
+            for piece, texts in small_slices(batch, text_col, SLICE):
                 ids, counts = store.texts([model.words(t) for t in texts])
                 offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
                 columns = [pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))), pa.array(counts, pa.int64()), pa.array(model.decode(ids, counts), pa.string())]
