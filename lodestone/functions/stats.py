@@ -51,7 +51,8 @@ def benjamini_hochberg(df: DataFrame, p: str, keys: list[str]) -> DataFrame:
 
 
 def clamp(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), x))
+    """x cut off at low and high; null for null."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))
 
 
 def linear_score(x: Column, low: float, high: float) -> Column:

@@ -64,3 +64,32 @@ def rfc3339(text: Column) -> Column:
     """RFC 3339 text with up to nanoseconds as a UTC timestamp, cut to microseconds; null if malformed."""
     cut = F.regexp_replace(text, r"(\.\d{6})\d+", "$1")
     return F.to_timestamp_ntz(F.date_format(F.try_to_timestamp(cut).cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+#: The minute of the New York day after which its session is complete; the scan's window in London; when outcomes may be taken.
+COMPLETE_MINUTE, SCAN_ZONE, SCAN_WINDOW, CAPTURE_MINUTE = 20 * 60 + 15, "Europe/London", (22 * 60 + 45, 23 * 60 + 5), 18 * 60 + 30
+
+
+def complete_date(now: Column) -> Column:
+    """The latest New York date whose whole session can be known at this time."""
+    return F.date_sub(trade_date(now), F.when(minute_of_day(now) >= COMPLETE_MINUTE, 0).otherwise(1))
+
+
+def scan_due(now: Column, last: Column) -> Column:
+    """Whether the daily scan is to run: a London weekday, inside the window (its last minute's beginning included), not yet run that date (last: null for never)."""
+    local = local_time(now, SCAN_ZONE)
+    seconds = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
+    exact = F.date_format(local, "SSSSSS") == "000000"
+    inside = (seconds >= SCAN_WINDOW[0] * 60) & ((seconds < SCAN_WINDOW[1] * 60) | ((seconds == SCAN_WINDOW[1] * 60) & exact))
+    return (F.weekday(local) < 5) & inside & ~last.eqNullSafe(local.cast("date"))
+
+
+def capture_due(now: Column, last: Column) -> Column:
+    """Whether outcomes are to be taken: a New York weekday, after the session, not yet that date."""
+    return (F.weekday(local_time(now)) < 5) & (minute_of_day(now) >= CAPTURE_MINUTE) & ~last.eqNullSafe(trade_date(now))
+
+
+def price_session(ts: Column) -> Column:
+    """pre_market, regular, after_hours or closed (weekends too) by New York wall time; unknown for null."""
+    m = minute_of_day(ts)
+    return F.when(ts.isNull(), "unknown").when(F.weekday(local_time(ts)) >= 5, "closed").when(m < OPEN, "pre_market").when(m < CLOSE, "regular").when(m < POST_CLOSE, "after_hours").otherwise("closed")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import local_time, session_label, trade_date
+from .asof import within_interval
 
 BAR_KEY = ["symbol", "timeframe", "feed", "adjustment", "bar_ts"]
 
@@ -58,10 +59,11 @@ def snapshot_grid(bars: DataFrame, grid: DataFrame) -> DataFrame:
 def path_outcome(signals: DataFrame, bars: DataFrame, horizon_minutes: int, side: int = 1) -> DataFrame:
     """Per signal (signal_id, symbol, signal_ts): entry, best and worst excursion and the close along the bars in (signal_ts, deadline].
 
-    The first bar after the signal is the entry; equal extremes go to the earlier bar; side -1 is short.
+    The first bar after the signal is the entry; equal extremes go to the earlier bar; side -1 is short. Signals and bars
+    meet by symbol and time bucket of the horizon.
     """
     deadline = F.col("signal_ts") + F.expr(f"INTERVAL '{horizon_minutes}' MINUTE")
-    met = signals.join(bars, "symbol").filter((F.col("bar_ts") > F.col("signal_ts")) & (F.col("bar_ts") <= deadline))
+    met = within_interval(signals.withColumn("_deadline", deadline), bars, "symbol", "signal_ts", "_deadline", "bar_ts", horizon_minutes * 60)
     out = met.groupBy("signal_id", "symbol", "signal_ts").agg(
         F.min_by("open", "bar_ts").alias("entry"), F.max("high").alias("top"), F.min("low").alias("bottom"), F.max_by("close", "bar_ts").alias("exit"), F.count("*").alias("bars"),
         F.min(F.struct((-F.col("high")).alias("v"), F.col("bar_ts").alias("t")))["t"].alias("top_ts"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -54,21 +52,6 @@ def q25_text_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q25 = f"SELECT doc_id, {CLASS_SQL} AS event_class, coalesce(array_to_string({FLAG_SQL}, ','), '') AS flags FROM documents"
 
 
-def q35_discovery_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Priority of documents: size and class, less penalties for flags; best 200 by priority, ties by id (a top-k report)."""
-    d = load(spark, sf_dir, "documents").withColumn("low", F.lower("text"))
-    base = F.least(F.lit(45.0), F.greatest(F.lit(0.0), F.log10(F.greatest(F.lit(1.0), F.col("n_chars") / 10.0)) * 12.0))
-    points = F.create_map(*[F.lit(x) for kv in {"B": 32.0, "A": 27.0, "C": 20.0, "U": 4.0, "D": -25.0, "E": -55.0}.items() for x in kv])
-    fine = F.aggregate(risk_flags(F.col("low")), F.lit(0.0), lambda a, f: a + F.when(f == "solvency", 35.0).when(f == "dilution", 14.0).otherwise(8.0))
-    out = d.select("doc_id", R(base + F.element_at(points, text_class(F.col("low"))) - fine).alias("priority"))
-    return out.orderBy(F.col("priority").desc(), "doc_id").limit(200)
-
-
-Q35 = f"""WITH x AS (SELECT doc_id, n_chars, {CLASS_SQL} AS c, coalesce({FLAG_SQL}, []) AS f FROM documents)
-SELECT doc_id, round(least(45.0::DOUBLE, greatest(0.0::DOUBLE, log10(greatest(1.0::DOUBLE, n_chars / 10.0::DOUBLE)) * 12)) + CASE c WHEN 'B' THEN 32 WHEN 'A' THEN 27 WHEN 'C' THEN 20 WHEN 'U' THEN 4 WHEN 'D' THEN -25 ELSE -55 END
- - list_sum(list_transform(list_concat(f, ['none']), lambda y: CASE y WHEN 'none' THEN 0 WHEN 'solvency' THEN 35 WHEN 'dilution' THEN 14 ELSE 8 END)), 6) AS priority FROM x ORDER BY priority DESC, doc_id LIMIT 200"""
-
-
 def q33_token_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jaccard similarity of the word sets of each conversation turn and the turn before it."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]{3,}"), F.lit(0)))
@@ -117,25 +100,29 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 SAMPLES = "s AS (SELECT doc_id, source, lang, round(least(100.0, n_chars / 60.0::DOUBLE), 4) AS score, quality = 1 AS target FROM documents JOIN labels USING (doc_id))"
 
 
-def fit_calibration(data: DataFrame, l2: float = 1.0, steps: int = 40, tolerance: float = 1e-10) -> tuple[float, float]:
-    """Two-parameter logistic regression of target on (score - 50) / 10, L2 on the slope: Newton steps over five sums made in Spark."""
-    x = data.select(((F.col("score") - 50.0) / 10.0).alias("x"), F.col("target").cast("double").alias("y")).persist()
-    share = min(1 - 1e-6, max(1e-6, x.agg(F.avg("y")).first()[0] or 0.5))
-    a, b = math.log(share / (1 - share)), 0.0
+def fit_calibration(data: DataFrame, prior: float = 1.0, steps: int = 40) -> tuple[float, float]:
+    """Intercept and slope of P(target) = sigmoid(a + b (score - 50) / 10), the slope under a normal prior of this precision.
+
+    Newton's method on the posterior: Spark counts rows and hits per distinct score once, and sums gradient and curvature over
+    these counts in every step; the 2 x 2 system is solved here. Without rows both are 0.
+    """
+    counts = data.groupBy("score").agg(F.count("*").cast("double").alias("n"), F.sum(F.col("target").cast("double")).alias("hits"))
+    counts = counts.select("n", "hits", ((F.col("score") - 50.0) / 10.0).alias("x")).cache()  # as many rows as there are distinct scores
+    n, hits = counts.agg(F.sum("n"), F.sum("hits")).first()
+    if not n:
+        return 0.0, 0.0
+    rate = np.clip(hits / n, 1e-6, 1 - 1e-6)
+    theta, penalty = np.array([np.log(rate / (1 - rate)), 0.0]), np.diag([0.0, prior])
     for _ in range(steps):
-        p = sigmoid(F.lit(a) + F.lit(b) * F.col("x"))
-        w, e = F.greatest(F.lit(1e-9), p * (1 - p)), p - F.col("y")
-        g0, g1, h00, h01, h11 = x.agg(F.sum(e), F.sum(e * F.col("x")), F.sum(w), F.sum(w * F.col("x")), F.sum(w * F.col("x") * F.col("x"))).first()
-        g1, h11 = g1 + l2 * b, h11 + l2
-        det = h00 * h11 - h01 * h01
-        if abs(det) < 1e-12:
-            break
-        d0, d1 = (h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det
-        a, b = a - d0, b - d1
-        if max(abs(d0), abs(d1)) < tolerance:
+        p = sigmoid(F.lit(float(theta[0])) + F.lit(float(theta[1])) * F.col("x"))
+        excess, weight = F.col("n") * p - F.col("hits"), F.col("n") * p * (1 - p)
+        sums = counts.agg(*[F.sum(v * m) for v in (excess, weight) for m in (F.lit(1.0), F.col("x"), F.col("x") ** 2)]).first()
+        move = np.linalg.solve(np.array([[sums[3], sums[4]], [sums[4], sums[5]]]) + penalty + 1e-12 * np.eye(2), np.array(sums[:2]) + penalty @ theta)
+        theta -= move
+        if np.abs(move).max() < 1e-10:
             break
-    x.unpersist()
-    return a, b
+    counts.unpersist()
+    return float(theta[0]), float(theta[1])
 
 
 def q42_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +130,14 @@ def q42_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(round(a, 6), round(b, 6))], "intercept double, slope double")
 
 
+Q42 = f"""WITH RECURSIVE {SAMPLES}, z AS (SELECT (score - 50) / 10 AS x, count(*)::DOUBLE AS n, sum(target::INT)::DOUBLE AS k FROM s GROUP BY score),
+newton(i, a, b) AS (SELECT 0, ln(sum(k) / (sum(n) - sum(k))), 0.0::DOUBLE FROM z UNION ALL
+ SELECT i + 1, a - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) FROM (
+  SELECT i, a, b, sum(n * p - k) AS g0, sum((n * p - k) * x) + b AS g1, sum(n * p * (1 - p)) AS h00, sum(n * p * (1 - p) * x) AS h01, sum(n * p * (1 - p) * x * x) + 1 AS h11
+  FROM (SELECT i, a, b, x, n, k, 1 / (1 + exp(-(a + b * x))) AS p FROM newton CROSS JOIN z WHERE i < 20) GROUP BY i, a, b))
+SELECT round(a, 6) AS intercept, round(b, 6) AS slope FROM newton WHERE i = 20"""
+
+
 def q43_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reliability by tenths of a fixed mapping: count, mean probability, actual rate, Brier."""
     s = samples(spark, sf_dir).withColumn("p", F.round(sigmoid(F.lit(0.5) + 0.2 * (F.col("score") - 50) / 10), 9)).withColumn("y", F.col("target").cast("double"))
@@ -295,7 +290,11 @@ p AS (SELECT o.o_custkey, o_totalprice AS prior FROM o JOIN l USING (o_custkey)
 SELECT o_custkey, last_day, latest, prior, round(2 * (latest - prior) / nullif(abs(latest) + abs(prior), 0), 6) AS symmetric_change FROM l LEFT JOIN p USING (o_custkey)"""
 
 
-def q23_bootstrap(spark: SparkSession, sf_dir: str, block: int = 5, replications: int = 20_000, seed: int = 20260813) -> DataFrame:
+#: Equal intervals and p-values need the same generator, seed, block length, number of replications and shape of draws.
+BOOTSTRAP = {"block": 5, "replications": 20_000, "seed": 20260813}
+
+
+def q23_bootstrap(spark: SparkSession, sf_dir: str, block: int = BOOTSTRAP["block"], replications: int = BOOTSTRAP["replications"], seed: int = BOOTSTRAP["seed"]) -> DataFrame:
     """Circular block bootstrap of each definition's ordered monthly means: interval and one-sided p. One small series per group; replications are drawn in slices, in the seed's order."""
     line = load(spark, sf_dir, "lineitem").select(F.concat_ws("|", "l_returnflag", "l_linestatus").alias("candidate"), F.date_format("l_shipdate", "yyyyMM").alias("month"), (F.col("l_discount") - F.col("l_tax") - 0.01).alias("net"))
     months = line.groupBy("candidate", "month").agg(F.round(F.avg("net"), 9).alias("net"))
@@ -345,9 +344,9 @@ def q54_sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q54 = f"WITH {SAMPLES} SELECT source, count(*) AS n, sum(('0x' || substr(md5(concat_ws('|', doc_id, target)), 1, 8))::BIGINT)::BIGINT AS fingerprint FROM s GROUP BY 1"
 
 _SQL = {
-    "q25_text_classes": Q25, "q35_discovery_priority": Q35, "q33_token_similarity": Q33, "q26_relevance": Q26, "q27_quantities": Q27, "q43_reliability": Q43, "q43_auc": Q43A, "q45_score_deciles": Q45,
+    "q25_text_classes": Q25, "q42_calibration": Q42, "q33_token_similarity": Q33, "q26_relevance": Q26, "q27_quantities": Q27, "q43_reliability": Q43, "q43_auc": Q43A, "q45_score_deciles": Q45,
     "q40_three_session_path": Q40, "q39_horizon_outcome": Q39, "q38_contamination": Q38, "q31_geometric_score": Q31, "q33_ensemble_quartile": Q33E, "q46_hypotheses": Q46H, "q36_point_in_time": Q36,
     "q24_placebo_shift": Q24P, "q57_missing_runs": Q57, "q54_sample_hash": Q54,
 }
-QUERIES = {name: globals()[name] for name in (*_SQL, "q42_calibration", "q23_bootstrap")}
+QUERIES = {name: globals()[name] for name in (*_SQL, "q23_bootstrap")}
 ORACLES = _SQL

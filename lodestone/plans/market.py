@@ -152,7 +152,7 @@ def d12_ordered_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(once, ["source"], F.col("doc_id").asc(), keep=10).select("source", "doc_id")
 
 
-D12 = """WITH d AS (SELECT source, doc_id, lower(trim(substr(text, 1, 40))) AS key FROM documents), once AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY source, key ORDER BY doc_id) = 1 OR key = '')
+D12 = """WITH d AS (SELECT source, doc_id, lower(trim(coalesce(text, ''))) AS key FROM documents), once AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY source, key ORDER BY doc_id) = 1 OR key = '')
 SELECT source, doc_id FROM once QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 10"""
 
 
@@ -173,7 +173,7 @@ def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j13_asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last view strictly before each purchase of the user, within a day."""
     views = ticks(spark, sf_dir).filter("symbol = 'view'").select(F.col("user_id").alias("user"), F.col("ts").alias("seen"), F.col("tick_id").alias("view_id"), "price")
-    out = asof(_clicks(spark, sf_dir), views, "user", "at", "seen", 86_400, tie=[F.col("view_id").desc()])
+    out = asof(_clicks(spark, sf_dir), views, "user", "at", "seen", 86_400, tie=[-F.col("view_id")])
     return out.select("left_id", "view_id", "price")
 
 
@@ -186,7 +186,7 @@ SELECT p.tick_id AS left_id, m.view_id, m.price FROM p LEFT JOIN m ON m.left_id
 def j14_asof_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first click at or after each purchase of the user, within six hours."""
     clicks = ticks(spark, sf_dir).filter("symbol = 'click'").select(F.col("user_id").alias("user"), F.col("ts").alias("next_at"), F.col("tick_id").alias("click_id"))
-    return asof(_clicks(spark, sf_dir), clicks, "user", "at", "next_at", 21_600, forward=True, strict=False, tie=[F.col("click_id").asc()]).select("left_id", "click_id", "next_at")
+    return asof(_clicks(spark, sf_dir), clicks, "user", "at", "next_at", 21_600, forward=True, strict=False, tie=[F.col("click_id")]).select("left_id", "click_id", "next_at")
 
 
 J14 = f"""WITH {TICKS}, p AS (SELECT * FROM ticks WHERE symbol = 'purchase'), c AS (SELECT * FROM ticks WHERE symbol = 'click'), m AS (
@@ -199,7 +199,7 @@ def j16_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipments of an order in the 30 days after it."""
     o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("start"), (F.col("o_orderdate") + F.expr("INTERVAL '30' DAY")).alias("stop"))
     line = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_shipdate").alias("shipped"), "l_extendedprice")
-    return within_interval(o, line, "k", "start", "stop", "shipped").groupBy("k").agg(F.count("*").alias("n"), R(F.sum("l_extendedprice"), 2).alias("value"))
+    return within_interval(o, line, "k", "start", "stop", "shipped", 30 * 86_400).groupBy("k").agg(F.count("*").alias("n"), R(F.sum("l_extendedprice"), 2).alias("value"))
 
 
 J16 = "SELECT o_orderkey AS k, count(*) AS n, round(sum(l_extendedprice), 2) AS value FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate > o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 30 DAY GROUP BY 1"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import campaigns, events, market, reports, scanner
+from . import campaigns, discovery, events, filings, intraday, lookups, market, reports, scanner, technicals
 
 FLAGSHIP = "q4_daily_features"
-QUERIES = {**market.QUERIES, **campaigns.QUERIES, **events.QUERIES, **reports.QUERIES, **scanner.QUERIES}
-ORACLES = {**market.ORACLES, **campaigns.ORACLES, **events.ORACLES, **reports.ORACLES, **scanner.ORACLES}
+_MODULES = (market, campaigns, events, reports, scanner, discovery, lookups, technicals, intraday, filings)
+QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}

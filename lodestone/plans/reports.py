@@ -155,23 +155,6 @@ def q43_pr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q43P = f"""WITH {SAMPLES}, r AS (SELECT lang, target, sum(target::INT) OVER w AS tp, row_number() OVER w AS k FROM s WINDOW w AS (PARTITION BY lang ORDER BY score DESC, doc_id)) SELECT lang, round(sum(tp / k) FILTER (WHERE target) / nullif(count(*) FILTER (WHERE target), 0), 6) AS pr_auc FROM r GROUP BY 1"""
 
-#: Setups with what an audit found: penalty on the priority (parameters of the policy).
-AUDIT = [("click", 16.0, "FAILED"), ("view", 11.0, "FAILED"), ("purchase", 24.0, "UNSTABLE"), ("error", 21.0, "UNSTABLE")]
-
-
-def q47_reliability_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Priority of each symbol and day less its audited penalty, capped at 74, with a view; symbols that were not audited get none."""
-    t = ticks(spark, sf_dir).groupBy("symbol", F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"), F.avg("price").alias("m"))
-    base = F.least(F.lit(100.0), F.col("n") + 10 * F.log10(1 + F.col("m")))
-    audited = t.withColumn("base", base).join(F.broadcast(spark.createDataFrame(AUDIT, "symbol string, penalty double, status string")), "symbol", "left")
-    p = R(F.least(F.lit(74.0), F.greatest(F.lit(0.0), F.col("base") - F.coalesce("penalty", F.lit(0.0)))), 4)
-    return audited.select("symbol", "day", F.coalesce("status", F.lit("NOT_AUDITED")).alias("status"), p.alias("priority")).withColumn("view", F.when(F.col("priority") >= 60, "REVIEW").when(F.col("priority") >= 40, "WATCH").otherwise("IGNORE"))
-
-
-Q47 = f"""WITH {TICKS}, t AS (SELECT symbol, CAST(ts AS DATE) AS day, least(100.0, count(*) + 10 * log10(1 + avg(price))) AS base FROM ticks GROUP BY ALL), a(symbol, penalty, status) AS (VALUES {', '.join(f"('{s}', {p}::DOUBLE, '{x}')" for s, p, x in AUDIT)}),
-p AS (SELECT symbol, day, coalesce(status, 'NOT_AUDITED') AS status, round(least(74.0, greatest(0.0, base - coalesce(penalty, 0))), 4) AS priority FROM t LEFT JOIN a USING (symbol)) SELECT *, CASE WHEN priority >= 60 THEN 'REVIEW' WHEN priority >= 40 THEN 'WATCH' ELSE 'IGNORE' END AS view FROM p"""
-
-
 def q34_local_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences that name the subject and an event word but no negation: attribution is local to the sentence."""
     d = load(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.split(F.lower("text"), r"[.!?\n]+")).alias("s"))
@@ -233,7 +216,7 @@ def q59_alias_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q59 = "WITH p AS (SELECT p_partkey, p_brand, array_to_string(list_sort(regexp_split_to_array(trim(regexp_replace(lower(p_name), '[^a-z0-9 ]', ' ', 'g')), ' +')), ' ') AS alias FROM part) SELECT alias, count(DISTINCT p_brand) AS brands, count(*) AS parts, min(p_partkey) AS first_part FROM p GROUP BY 1"
 
 _SQL = {
-    "q14_freeze": Q14, "q15_sequential_holdout": Q15, "q10_context_postprocess": Q10, "q18_rank_regimes": Q18, "q41_checkpoints": Q41, "q44_expanding_folds": Q44, "q43_pr_auc": Q43P, "q47_reliability_policy": Q47,
+    "q14_freeze": Q14, "q15_sequential_holdout": Q15, "q10_context_postprocess": Q10, "q18_rank_regimes": Q18, "q41_checkpoints": Q41, "q44_expanding_folds": Q44, "q43_pr_auc": Q43P,
     "q34_local_attribution": Q34, "q32_scenarios": Q32, "a19_object_aggregates": A19, "q60_taxonomy": Q60, "q59_alias_match": Q59,
 }
 QUERIES = {name: globals()[name] for name in (*_SQL, "q21_ridge")}

@@ -43,7 +43,7 @@ def q7_basket_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q7 = f"""WITH {PANEL}, f AS (SELECT signal_date FROM panel GROUP BY 1 HAVING count(*) >= 20), x AS (SELECT a.symbol, a.signal_date, a.next_open, a.next_close, round(ln(a.close / b.close), 6) AS change, round(ln(a.volume / b.volume), 6) AS volume_change
  FROM panel a JOIN panel b ON b.symbol = a.symbol AND b.signal_date + 1 = a.signal_date WHERE a.close > 0 AND b.close > 0 AND a.volume > 0 AND b.volume > 0 AND a.signal_date IN (SELECT signal_date FROM f)),
 b AS (SELECT signal_date, count(*) AS names, count(*) FILTER (WHERE next_open > 0 AND next_close IS NOT NULL) AS priced, avg(1 - next_close / nullif(next_open, 0)) FILTER (WHERE next_open > 0 AND next_close IS NOT NULL) AS short FROM x WHERE change >= 0.3 AND volume_change >= 0.2 GROUP BY 1)
-SELECT signal_date, names, priced, CASE WHEN priced >= 3 THEN round(short - 0.0012, 6) END AS net, CASE WHEN names < 3 THEN 'TOO_FEW_NAMES' WHEN priced < 3 THEN 'MISSING_PRICE' END AS excluded FROM b"""
+SELECT signal_date, names, priced, CASE WHEN priced >= {MIN_BASKET_NAMES} THEN round(short - 0.0012, 6) END AS net, CASE WHEN names < {MIN_BASKET_NAMES} THEN 'TOO_FEW_NAMES' WHEN priced < {MIN_BASKET_NAMES} THEN 'MISSING_PRICE' END AS excluded FROM b"""
 
 
 def f7_liquidity_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

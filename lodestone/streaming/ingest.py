@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.keyed import insert_new
+from ..operators.keyed import latest_per_key
 
 
 def fresh_bars(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -25,17 +26,22 @@ def completed_minutes(ticks: DataFrame, settle: str = "180 seconds", width: str
     return bars.select("symbol", F.col("w.start").alias("bar_ts"), "open", "high", "low", "close", "volume", "trade_count")
 
 
-def append_new(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Append only unseen keys of each batch to a Parquet table; a replayed batch adds nothing."""
+def append_new(stream: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str = "bar_ts") -> StreamingQuery:
+    """Append only unseen keys of each batch to a Parquet table by month of ts (a key column); a replayed batch adds nothing.
+
+    A batch reads only the months that it holds itself. Of rows with one key the least by a hash of the whole row is taken.
+    """
 
     def sink(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
+        dated = batch.withColumn("yyyymm", F.date_format(ts, "yyyyMM"))
+        months = [r[0] for r in dated.select("yyyymm").distinct().collect()]
+        fresh = latest_per_key(dated, keys, F.xxhash64(*batch.columns))
         try:
-            known = spark.read.schema(batch.schema).parquet(path)
-        except Exception as missing:  # the table does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(missing):
+            known = batch.sparkSession.read.schema(dated.schema).parquet(path).filter(F.col("yyyymm").isin(months))
+            fresh = fresh.join(known.select(*keys), keys, "left_anti")
+        except AnalysisException as missing:  # the table does not exist before the first batch
+            if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            known = batch.limit(0)
-        insert_new(known.limit(0), batch, keys, F.col(keys[0])).join(known.select(*keys), keys, "left_anti").write.mode("append").parquet(path)
+        fresh.write.mode("append").partitionBy("yyyymm").parquet(path)
 
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

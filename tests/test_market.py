@@ -76,7 +76,7 @@ def test_asof_strictness_and_reach(spark):
     assert get(strict=False) == {1: 2, 2: None, 3: None}
     assert get(forward=True) == {1: 3, 2: None, 3: None}
     spans = left.selectExpr("left_id", "k", "at as start", "at + interval 20 minutes as stop")
-    assert rows(within_interval(spans, right, "k", "start", "stop", "ts").select("left_id", "v")) == [(1, 3)]
+    assert rows(within_interval(spans, right, "k", "start", "stop", "ts", 1200).select("left_id", "v")) == [(1, 3)]
 
 
 def ticks_frame(spark):
