@@ -255,7 +255,7 @@ def q46_hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bars(spark, sf_dir, 60)
     w = Window.partitionBy("symbol").orderBy("bar_ts")
     ret = lambda n: F.round((F.try_divide("close", F.lag("close", n).over(w)) - 1) * 100, 6)
-    b = b.select("symbol", "bar_ts", ret(1).alias("r1"), ret(4).alias("r4"), "trade_count").filter("r4 is not null")
+    b = b.select("symbol", "bar_ts", ret(1).alias("r1"), ret(4).alias("r4"), "trade_count").filter("r1 is not null and r4 is not null")
     h = b.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("side"), F.lit(t).alias("style")) for k, (s, t) in enumerate((s, t) for s in (1, -1) for t in ("CONTINUATION", "REVERSION"))])).alias("h"))
     move = F.col("h.side") * F.when(F.col("h.style") == "CONTINUATION", F.col("r4")).otherwise(-F.col("r4"))
     turn = F.col("h.side") * F.col("r1")
@@ -268,7 +268,7 @@ def q46_hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q46H = f"""WITH {BARS.replace("'15 minutes'", "'60 minutes'")}, r AS (SELECT symbol, bar_ts, trade_count, round((close / nullif(lag(close, 1) OVER w, 0) - 1) * 100, 6) AS r1, round((close / nullif(lag(close, 4) OVER w, 0) - 1) * 100, 6) AS r4 FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY bar_ts)),
-h AS (SELECT *, side * CASE WHEN style = 'CONTINUATION' THEN r4 ELSE -r4 END AS move, side * r1 AS turn FROM r CROSS JOIN (VALUES (0, 1, 'CONTINUATION'), (1, 1, 'REVERSION'), (2, -1, 'CONTINUATION'), (3, -1, 'REVERSION')) t(k, side, style) WHERE r4 IS NOT NULL),
+h AS (SELECT *, side * CASE WHEN style = 'CONTINUATION' THEN r4 ELSE -r4 END AS move, side * r1 AS turn FROM r CROSS JOIN (VALUES (0, 1, 'CONTINUATION'), (1, 1, 'REVERSION'), (2, -1, 'CONTINUATION'), (3, -1, 'REVERSION')) t(k, side, style) WHERE r1 IS NOT NULL AND r4 IS NOT NULL),
 s AS (SELECT *, round(least(100.0, greatest(0.0, 50.0 + 30.0 * tanh(move / 40.0) + 15.0 * tanh(turn / 30.0) - CASE WHEN turn < 0 THEN 12 ELSE 0 END - CASE WHEN trade_count < 3 THEN 8 ELSE 0 END))::DOUBLE, 6) AS score FROM h),
 p AS (SELECT *, row_number() OVER (PARTITION BY symbol, bar_ts ORDER BY score DESC, k) AS place FROM s)
 SELECT symbol, bar_ts, CASE WHEN max(side) FILTER (WHERE place = 1) > 0 THEN 'LONG' ELSE 'SHORT' END AS direction, max(style) FILTER (WHERE place = 1) AS style, max(score) AS score, round(max(score) - min(score), 6) AS margin, round(max(score) - min(score), 6) < 3 AS ambiguous FROM p WHERE place <= 2 GROUP BY symbol, bar_ts"""
