@@ -192,3 +192,25 @@ def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), str(tmp_path)).columns == docs.columns
+    assert corpus_pipeline.encode(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_pipeline_stages_with_clashing_columns_and_repeated_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    say = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    extra = ["y", "score", "predicted", "ids", "spans", "items", "best", "kept", "component_id", "n_hit", "decoded", "a.b"]
+    rows = [(i, say(30) + (" vilest" if i % 4 == 0 else ""), *["x"] * len(extra)) for i in range(60)]
+    rows += rows[1:4] + [(70, None, *["x"] * len(extra)), (71, None, *[None] * len(extra)), (None, None, *["x"] * len(extra)), (72, "long " * 60_000, *["x"] * len(extra))]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in extra)
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, say(30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, str(tmp_path)))
+        assert docs.columns == ["doc_id", "text", *extra], name
+    left = sorted((r["doc_id"] for r in docs.collect()), key=str)
+    assert left == sorted([*(i for i in range(60) if i % 4), 70, 71, 72, None], key=str)
+    assert corpus_pipeline.encode(spark, docs, str(tmp_path)).count() == len(left)
