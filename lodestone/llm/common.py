@@ -63,9 +63,13 @@ def text_or_empty(name: str) -> Column:
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """As mapInArrow, for any column names (it can't take names with dots)."""
+    """As mapInArrow, for any column names (it can't take names with dots); what Arrow keeps free goes back when a task ends."""
     names = df.columns
-    renamed = lambda batches: run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
+        pa.default_memory_pool().release_unused()
+
     return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)
 
 

@@ -22,7 +22,7 @@ WORD_SPACE, SHAPE_SPACE, SHAPES = 1 << 20, 1 << 18, 1 << 9
 class TokenTable(dict):
     """Numbers of the white-space tokens met so far and each one's features (an array)."""
 
-    def __init__(self, features: Callable[[str], np.ndarray], limit: int = 100_000):
+    def __init__(self, features: Callable[[str], np.ndarray], limit: int = 50_000):
         super().__init__()
         self.features, self.limit, self.rows = features, limit, []
 

@@ -50,7 +50,7 @@ class WordHashes(dict):
     """64-bit hashes of the words met so far."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
