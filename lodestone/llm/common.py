@@ -82,6 +82,6 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def without(df: DataFrame, *names: str) -> list[Column]:
-    """All columns of df but those named, quoted so that dots in names do no harm."""
-    gone = set(names)
-    return [F.col(f"`{c}`") for c in df.columns if c not in gone]
+    """All columns of df but those named in any case, as Spark compares names; quoted so that dots in names do no harm."""
+    gone = {n.lower() for n in names}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in gone]

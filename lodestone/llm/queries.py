@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import load
 from . import quality, sql, toxicity
+from .byte_bpe import encode_decode_bytes
 from .decontaminate import find_contamination
 from .embedding_dedup import near_vectors
 from .features import fold
@@ -90,6 +91,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode_bytes(load(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"))
+    return out.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -101,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op7_embedding_dedup": sql.EMBEDDING_DEDUP, "op9_near_dedup": sql.NEAR_DEDUP, "op10_url_filter": sql.URL_FILTER}
