@@ -19,6 +19,7 @@ from .pieces import encode_decode
 from .pii import pseudonymise
 from .token_shards import token_shards
 from .url_filter import filter_urls
+from .vector_codes import digest, vector_codes, with_label_error
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -101,6 +102,11 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes(load(spark, sf_dir, "embeddings"))
+    return with_label_error(coded).select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -113,5 +119,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_vector_codes": op13_vector_codes,
+}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": sql.LINE_DEDUP,
+    "op5_decontaminate": sql.DECONTAMINATE,
+    "op7_embedding_dedup": sql.EMBEDDING_DEDUP,
+    "op9_near_dedup": sql.NEAR_DEDUP,
+    "op10_url_filter": sql.URL_FILTER,
+    "op13_vector_codes": sql.VECTOR_CODES,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": sql.LINE_DEDUP, "op5_decontaminate": sql.DECONTAMINATE, "op7_embedding_dedup": sql.EMBEDDING_DEDUP, "op9_near_dedup": sql.NEAR_DEDUP, "op10_url_filter": sql.URL_FILTER}

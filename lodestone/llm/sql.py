@@ -86,3 +86,38 @@ SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id
        v.vec_id = least(v.vec_id, coalesce(m, v.vec_id)) AS kept
 FROM embeddings v LEFT JOIN counts c ON c.a = v.vec_id LEFT JOIN least_of l ON l.a = v.vec_id
 """
+
+
+def _nearest(k: int) -> str:
+    """Every part's nearest entry of the k-th codebooks."""
+    return f"""near{k} AS (
+  SELECT r, p, any_value(x) AS x, arg_min(e, d * 256 + e) AS e, min(d) AS d
+  FROM (SELECT r, p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM parts JOIN book{k} USING (p))
+  GROUP BY r, p)"""
+
+
+def _refitted(k: int) -> str:
+    """The codebooks after the k-th assignment."""
+    return f"""book{k + 1} AS (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN (
+    SELECT p, e, list(floor_of ORDER BY i) AS c FROM (
+      SELECT p, e, i, ((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS floor_of
+      FROM (SELECT p, e, unnest(x) AS v, unnest(range(len(x))) AS i FROM near{k}) GROUP BY p, e, i)
+    GROUP BY p, e) m ON m.p = b.p AND m.e = b.e)"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT r, p, q[p * (len(q) // 16) + 1:(p + 1) * (len(q) // 16)] AS x FROM kept, range(16) AS t(p)),
+book0 AS (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64),
+{_nearest(0)},
+{_refitted(0)},
+{_nearest(1)},
+{_refitted(1)},
+{_nearest(2)},
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (r), books
+"""
