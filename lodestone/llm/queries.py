@@ -13,6 +13,7 @@ from .byte_bpe import encode_decode_bytes
 from .decontaminate import find_contamination
 from .embedding_dedup import near_vectors
 from .features import fold
+from .importance import resample
 from .line_dedup import drop_shared_lines
 from .near_dedup import near_duplicates
 from .pieces import encode_decode
@@ -92,6 +93,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_decode_bytes(load(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"))
     return out.select(
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_importance": op11_importance,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_vector_codes": op13_vector_codes,
 }
@@ -127,5 +133,6 @@ ORACLES: dict[str, str] = {
     "op7_embedding_dedup": sql.EMBEDDING_DEDUP,
     "op9_near_dedup": sql.NEAR_DEDUP,
     "op10_url_filter": sql.URL_FILTER,
+    "op11_importance": sql.IMPORTANCE,
     "op13_vector_codes": sql.VECTOR_CODES,
 }

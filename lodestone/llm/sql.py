@@ -87,6 +87,34 @@ SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id
 FROM embeddings v LEFT JOIN counts c ON c.a = v.vec_id LEFT JOIN least_of l ON l.a = v.vec_id
 """
 
+IMPORTANCE = rf"""
+WITH bits AS (SELECT range AS b, list_reduce(list_prepend(range, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc FROM range(256)),
+table_of AS (SELECT list(crc ORDER BY b) AS t FROM bits),
+words AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+features AS (
+  SELECT side, r, array_to_string(w[i:i + n - 1], ' ') AS f, count(*) AS c
+  FROM words, range(1, 4) AS s(n), unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n GROUP BY ALL),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+bytes AS (SELECT f, list_transform(range(1, length(h), 2), lambda i: (strpos('0123456789ABCDEF', h[i]) - 1) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 1) AS b FROM hexed),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, b::BIGINT[]), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, table_of),
+counted AS (SELECT side, r, bucket, sum(c)::BIGINT AS c FROM features JOIN hashed USING (f) GROUP BY ALL),
+sums AS (SELECT bucket, coalesce(sum(c) FILTER (side = 'd'), 0) AS s, coalesce(sum(c) FILTER (side = 'b'), 0) AS t FROM counted GROUP BY bucket),
+alls AS (SELECT sum(s)::DOUBLE AS all_s, sum(t)::DOUBLE AS all_t FROM sums),
+gains AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln((t + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain FROM sums, alls),
+weights AS (SELECT r, sum(c * gain)::BIGINT AS weight FROM counted JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (
+  SELECT id AS doc_id, len(w) AS n, (len(w) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0))::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('42:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (r) WHERE side = 'd'),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n >= 20) OVER () AS fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n >= 20 AND place <= 5 * fit // 100 THEN place END AS rank FROM placed
+"""
+
 
 def _nearest(k: int) -> str:
     """Every part's nearest entry of the k-th codebooks."""
