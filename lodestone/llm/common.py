@@ -81,6 +81,15 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def inner(df: DataFrame) -> str:
+    """A beginning that no column name of df has, for names of columns that come and go within an operator."""
+    taken = [c.lower() for c in df.columns]
+    start = "__"
+    while any(c.startswith(start) for c in taken):
+        start += "_"
+    return start
+
+
 def without(df: DataFrame, *names: str) -> list[Column]:
     """All columns of df but those named in any case, as Spark compares names; quoted so that dots in names do no harm."""
     gone = {n.lower() for n in names}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, without
+from .common import inner, map_arrow, without
 from .fm_index import FMIndex
 
 #: Bytes that are no part of a word are made spaces, A-Z lower case; words are digits, a-z and all beyond ASCII.
@@ -167,16 +167,17 @@ def find_contamination(
 
     if blocks == 1:
         return one(0)
+    at = inner(docs)
     found = one(0)
     key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     more = None
     for block in range(1, blocks):
-        part = one(block).filter("n_hit > 0").select(F.col(f"`{id_col}`").alias("__doc"), key.alias("__version"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
+        part = one(block).filter("n_hit > 0").select(F.col(f"`{id_col}`").alias(f"{at}doc"), key.alias(f"{at}version"), F.col("spans").alias(f"{at}spans"), F.col("items").alias(f"{at}items"))
         more = part if more is None else more.unionByName(part)
-    more = more.groupBy("__doc", "__version").agg(F.flatten(F.collect_set("__spans")).alias("__spans"), F.flatten(F.collect_set("__items")).alias("__items"))
-    joined = found.withColumn("__of", key).join(more, F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.col("__of") == F.col("__version")), "left")
-    spans = merge_spans(F.concat("spans", F.coalesce("__spans", F.array().cast("array<struct<start:int,stop:int>>"))))
-    joined = joined.withColumn("spans", spans).withColumn("items", F.sort_array(F.array_distinct(F.concat("items", F.coalesce("__items", F.array().cast("array<string>"))))))
+    more = more.groupBy(f"{at}doc", f"{at}version").agg(F.flatten(F.collect_set(f"{at}spans")).alias(f"{at}spans"), F.flatten(F.collect_set(f"{at}items")).alias(f"{at}items"))
+    joined = found.withColumn(f"{at}of", key).join(more, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{at}doc")) & (F.col(f"{at}of") == F.col(f"{at}version")), "left")
+    spans = merge_spans(F.concat("spans", F.coalesce(f"{at}spans", F.array().cast("array<struct<start:int,stop:int>>"))))
+    joined = joined.withColumn("spans", spans).withColumn("items", F.sort_array(F.array_distinct(F.concat("items", F.coalesce(f"{at}items", F.array().cast("array<string>"))))))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
     return joined.withColumn("n_hit", hit).select(*[f"`{c}`" for c in schema.names])
 

@@ -117,8 +117,11 @@ def change(x: np.ndarray, variant: np.ndarray) -> Change:
     return np.setdiff1d(variant, x, assume_unique=True), np.setdiff1d(x, variant, assume_unique=True)
 
 
-def collected(sample: DataFrame, kind: type, variants: Callable[[str], list[str]] | None = None) -> tuple[list[np.ndarray], np.ndarray, list[list[Change]]]:
-    """The sample's features on the driver (bounded by the sample's size): rows, labels, what each text's variants change."""
+def collected(sample: DataFrame, kind: type, pairs: Callable[[str], list[tuple[str, str]]] | None = None) -> tuple[list[np.ndarray], np.ndarray, list[list[Change]]]:
+    """The sample's features on the driver: rows, labels, and what changes from the first to the second text of each of a text's pairs.
+
+    The driver needs 4 bytes for each distinct feature of each sampled text; the sample bounds rows, so very long texts count whole.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = kind()
@@ -126,7 +129,7 @@ def collected(sample: DataFrame, kind: type, variants: Callable[[str], list[str]
         for batch in batches:
             texts = batch.column("text").to_pylist()
             own = [features(t) for t in texts]
-            others = [[encode(part) for v in variants(t or "") for part in change(x, features(v))] if variants else [] for t, x in zip(texts, own, strict=True)]
+            others = [[encode(part) for a, b in pairs(t or "") for part in change(features(a), features(b))] if pairs else [] for t in texts]
             columns = [batch.column("__id"), batch.column("y"), pa.array(list(map(encode, own)), pa.binary()), pa.array(others, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "x", "others"])
 
@@ -138,11 +141,14 @@ def collected(sample: DataFrame, kind: type, variants: Callable[[str], list[str]
 
 
 class Sparse:
-    """Rows of 0/1 features over columns that at least min_rows rows have."""
+    """Rows of 0/1 features over columns that at least min_rows rows have, and those of keep; or over given columns."""
 
-    def __init__(self, rows: list[np.ndarray], size: int, min_rows: int = 1, columns: np.ndarray | None = None):
+    def __init__(self, rows: list[np.ndarray], size: int, min_rows: int = 1, columns: np.ndarray | None = None, keep: np.ndarray | None = None):
         flat = np.concatenate([np.empty(0, np.int32), *rows])
-        self.columns = np.flatnonzero(np.bincount(flat, minlength=size) >= min_rows) if columns is None else columns
+        if columns is None:
+            columns = np.flatnonzero(np.bincount(flat, minlength=size) >= min_rows)
+            columns = columns if keep is None else np.union1d(columns, keep)
+        self.columns = columns
         number = np.full(size, -1, np.int32)
         number[self.columns] = np.arange(len(self.columns))
         owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
@@ -151,6 +157,10 @@ class Sparse:
         self.index, self.owner, self.n = flat[known], owner[known], len(rows)
         self.starts = np.searchsorted(self.owner, np.arange(len(rows) + 1))
 
+    def filled(self) -> np.ndarray:
+        """Whether each row has a feature."""
+        return np.diff(self.starts) > 0
+
     def _parts(self):
         """Blocks of rows, so that temporary arrays stay small."""
         for row in range(0, self.n, 500):

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ascii_lower, materialise, text_or_empty, without
+from .common import ASCII_SPACE, ascii_lower, inner, materialise, text_or_empty, without
 
 NEW = ("n_lines", "n_dropped")
 
@@ -29,6 +29,7 @@ def line_key(line: Column) -> Column:
 
 def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3, min_chars: int = 20) -> DataFrame:
     """Replace each text by its kept lines; adds n_lines (before) and n_dropped."""
+    at = inner(docs)
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc"),
         F.xxhash64(text_or_empty(text_col)).alias("version"),
@@ -47,16 +48,16 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         hashed.join(shared, ["h1", "h2"])
         .filter(~F.col("doc").eqNullSafe(F.col("keeper")))
         .groupBy("doc", "version").agg(F.collect_set("pos").alias("gone"))
-        .select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("gone").alias("__gone"))
+        .select(F.col("doc").alias(f"{at}doc"), F.col("version").alias(f"{at}version"), F.col("gone").alias(f"{at}gone"))
     )
-    whole = docs.select(*without(docs, *NEW), F.xxhash64(text_or_empty(text_col)).alias("__of"))
-    joined = whole.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.col("__of") == F.col("__version")), "left")
-    joined = joined.withColumn("__lines", F.split(text_or_empty(text_col), "\n", -1))
-    positions = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    kept = F.array_join(F.transform(positions, lambda i: F.get("__lines", i)), "\n")
-    text = F.when(F.col("__gone").isNull(), text_or_empty(text_col)).otherwise(kept)
+    whole = docs.select(*without(docs, *NEW), F.xxhash64(text_or_empty(text_col)).alias(f"{at}of"))
+    joined = whole.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{at}doc")) & (F.col(f"{at}of") == F.col(f"{at}version")), "left")
+    joined = joined.withColumn(f"{at}lines", F.split(text_or_empty(text_col), "\n", -1))
+    positions = F.array_except(F.sequence(F.lit(0), F.size(f"{at}lines") - 1), F.col(f"{at}gone"))
+    kept = F.array_join(F.transform(positions, lambda i: F.get(f"{at}lines", i)), "\n")
+    text = F.when(F.col(f"{at}gone").isNull(), text_or_empty(text_col)).otherwise(kept)
     return joined.select(
-        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in NEW],
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() not in NEW],
+        F.size(f"{at}lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size(f"{at}gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

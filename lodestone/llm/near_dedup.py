@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialise, reread, without
+from .common import drop_table, inner, materialise, reread, without
 from .graph import components
 
 VALUES, CHUNKS, MAX_DIFFERENT = 64, 16, 31
@@ -327,10 +327,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, shingle: int = 5) -> DataFrame:
     """One document of each component, one with its smallest id; of other rows that repeat whole (id and text), one; rows with a null id all stay."""
+    at = inner(docs)
     rows = judged_rows(docs, id_col, text_col, percent, shingle).filter("id is not null and id = component_id")
     chosen = rows.groupBy("id", "node", F.when(F.col("node").isNull(), F.col("version")).alias("empty")).agg(F.min("version").alias("version"))
-    chosen = chosen.select(F.col("id").alias("__id"), F.col("version").alias("__version"))
+    chosen = chosen.select(F.col("id").alias(f"{at}id"), F.col("version").alias(f"{at}version"))
     version = F.xxhash64(F.col(f"`{text_col}`"))
-    marked = docs.withColumn("__of", version)
-    kept = marked.join(chosen, (F.col(f"`{id_col}`") == F.col("__id")) & (F.col("__of") == F.col("__version")), "left_semi")
-    return kept.dropDuplicates([id_col, "__of"]).unionByName(marked.filter(F.col(f"`{id_col}`").isNull())).select(*without(docs))
+    marked = docs.withColumn(f"{at}of", version)
+    kept = marked.join(chosen, (F.col(f"`{id_col}`") == F.col(f"{at}id")) & (F.col(f"{at}of") == F.col(f"{at}version")), "left_semi")
+    return kept.dropDuplicates([id_col, f"{at}of"]).unionByName(marked.filter(F.col(f"`{id_col}`").isNull())).select(*without(docs))

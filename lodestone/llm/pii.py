@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import inner, without
 
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\d)"
@@ -141,17 +141,18 @@ def pseudonym(value: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """Replace the values in each text; adds n_values (how many were replaced) and kinds (sorted, distinct)."""
+    at = inner(docs)
     text = F.col(f"`{text_col}`")
     may = F.coalesce(text.rlike("[0-9@]"), F.lit(False))
-    found = docs.select(*without(docs, "n_values", "kinds"), F.when(may, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("__found"))
-    has = F.size("__found") > 0
+    found = docs.select(*without(docs, "n_values", "kinds"), F.when(may, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias(f"{at}found"))
+    has = F.size(f"{at}found") > 0
     between = F.split(text, ANY, -1)
-    names = F.transform("__found", lambda v: F.struct(pseudonym(v, key).alias("to"), kind_of(v).alias("kind")))
-    done = found.withColumn("__to", F.when(has, names))
-    joined = F.array_join(F.zip_with(between, F.col("__to.to"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    kinds = F.filter(F.col("__to.kind"), lambda k: k.isNotNull())
+    names = F.transform(f"{at}found", lambda v: F.struct(pseudonym(v, key).alias("to"), kind_of(v).alias("kind")))
+    done = found.withColumn(f"{at}to", F.when(has, names))
+    joined = F.array_join(F.zip_with(between, F.col(f"{at}to.to"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    kinds = F.filter(F.col(f"{at}to.kind"), lambda k: k.isNotNull())
     return done.select(
-        *[F.when(has, joined).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_values", "kinds")],
+        *[F.when(has, joined).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_values", "kinds")],
         F.coalesce(F.when(has, F.size(kinds)), F.lit(0)).cast("long").alias("n_values"),
         F.coalesce(F.when(has, F.array_sort(F.array_distinct(kinds))), F.array().cast("array<string>")).alias("kinds"),
     )

@@ -1,11 +1,12 @@
 """Operator 1, toxicity: a counterfactually regularised linear classifier.
 
 Identity terms in labelled texts are swapped for other terms of their group; into a labelled text without any, two terms
-of one group are put in turn. The change of score that this makes is penalised beside the logistic loss, so that neutral
-mentions of a group do not raise a score, be it by the terms themselves or by what they share with other words.
+of one group are put in turn, and both texts are compared with each other and with the bare one. The change of score that this makes
+is penalised beside the logistic loss, so that neutral mentions of a group do not raise a score, be it by the terms
+themselves or by what they share with other words; the features of identity terms are in the model however few texts hold them.
 Weights are sparse (L1) over words and word beginnings. Trained on the driver by accelerated proximal
 gradient on at most max_rows labelled rows (the documented bound); every text is scored whole. The model tells how many
-counterfactual pairs it was fitted with and the mean squared change of score that they have left.
+counterfactual pairs it was fitted with, the share of them that differ in its features, and the mean squared change of score that they have left.
 
 Defined cases: a null or empty text gets the score of the bias; without labelled rows, or with one class
 alone, the score is the share of toxic labels (0 without any); rows that repeat are scored alike; an empty
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from .features import Change, Sparse, WordIndicators, collected, fold, score, sigmoid, training_sample
 
-#: Groups of identity terms that stand for each other in counterfactuals; a parameter of train().
+#: Groups of identity terms (single words, in any case) that stand for each other in counterfactuals; a parameter of train().
 IDENTITY_GROUPS = (
     ("women", "men"),
     ("woman", "man"),
@@ -79,52 +80,71 @@ class ToxicityModel:
     bias: float
     pairs: int = 0
     change: float = 0.0
+    filled: float = 0.0
+
+
+WORD = re.compile(r"\w+")
 
 
 def counterfactuals(groups: tuple[tuple[str, ...], ...]):
-    """A function that gives the counterfactuals of a text.
+    """A function that gives the pairs of texts whose scores should agree.
 
-    All its identity terms moved on by one in their group, and back by one; for a text without terms, two neighbours of one
-    group put in turn between its words, group and place by a hash of the text.
+    The text and all its identity terms moved on by one in their group, and back by one; for a text without terms, two neighbours of one
+    group put in turn between its words, group and place by a hash of the text: each with the text, and one with the other.
     """
     swap = swapper(groups)
 
-    def variants(text: str) -> list[str]:
+    def pairs(text: str) -> list[tuple[str, str]]:
+        if swapped := swap(text):
+            return [(text, other) for other in swapped]
         draw = crc32(text.encode("utf-8", "surrogatepass"))
         group, words = groups[draw % len(groups)], text.split(" ")
         at, first = draw // 997 % (len(words) + 1), draw // 89 % len(group)
-        return swap(text) or [" ".join([*words[:at], group[(first + k) % len(group)], *words[at:]]) for k in (0, 1)]
+        one, two = (" ".join([*words[:at], group[(first + k) % len(group)], *words[at:]]) for k in (0, 1))
+        return [(text, one), (text, two), (one, two)]
 
-    return variants
+    return pairs
 
 
 def swapper(groups: tuple[tuple[str, ...], ...]):
-    """A function that moves all identity terms of a text on by one, and back by one; nothing for a text without any."""
-    where = {term: (group, i) for group in groups for i, term in enumerate(group)}
-    pattern = re.compile(r"\b(" + "|".join(sorted(map(re.escape, where), key=len, reverse=True)) + r")\b", re.IGNORECASE)
+    """A function that moves all identity terms of a text on by one, and back by one; nothing for a text without any.
+
+    A word is a term if both are equal when case-folded.
+    """
+    where = {term.casefold(): (group, i) for group in groups for i, term in enumerate(group)}
+    if not all(WORD.fullmatch(term) for group in groups for term in group):
+        raise ValueError("identity terms are single words")
 
     def swapped(text: str, step: int) -> str:
         def other(m: re.Match) -> str:
-            group, i = where[m[0].lower()]
+            group, i = where.get(m[0].casefold(), ((m[0],), -step))
             return group[(i + step) % len(group)]
 
-        return pattern.sub(other, text)
+        return WORD.sub(other, text)
+
+    return lambda text: [swapped(text, 1), swapped(text, -1)] if any(w.casefold() in where for w in WORD.findall(text)) else []
+
 
-    return lambda text: [swapped(text, 1), swapped(text, -1)] if pattern.search(text) else []
+def term_features(groups: tuple[tuple[str, ...], ...]) -> np.ndarray:
+    """The features of all identity terms."""
+    features = WordIndicators()
+    return np.unique(np.concatenate([np.empty(0, np.int64), *(features(term) for group in groups for term in group)]))
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, changes: list[list[Change]], l1: float = 1e-3, counterfactual: float = 1.0, min_rows: int = 4, steps: int = 200) -> ToxicityModel:
+def fit(rows: list[np.ndarray], y: np.ndarray, changes: list[list[Change]], l1: float = 1e-3, counterfactual: float = 1.0, min_rows: int = 4, steps: int = 200, keep: np.ndarray | None = None) -> ToxicityModel:
     """Minimise mean class-balanced logistic loss + counterfactual / 2 * mean squared score change + l1 * |w|.
 
-    changes: for each row its counterfactuals, as the features that a counterfactual has more and those it lacks.
+    changes: for each row its counterfactual pairs, as the features that the second text has more and those it lacks. keep:
+    features that are in the model whatever their count.
     """
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return ToxicityModel({}, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    x = Sparse(rows, WordIndicators.size, min_rows)
+    x = Sparse(rows, WordIndicators.size, min_rows, keep=keep)
     pairs = [c for own in changes for c in own]
     more, less = (Sparse([c[k] for c in pairs], WordIndicators.size, columns=x.columns) for k in (0, 1))
     n, m = len(y), max(1, len(pairs))
+    filled = float(np.mean(more.filled() | less.filled())) if pairs else 0.0
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both classes count alike
     change_of = lambda w: more.dot(w) - less.dot(w)
 
@@ -151,7 +171,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, changes: list[list[Change]], l1:
         w, bias, t = new, new_bias, t_new
     used = np.flatnonzero(w)
     left = float(np.mean(change_of(w) ** 2)) if pairs else 0.0
-    return ToxicityModel(dict(zip(x.columns[used].tolist(), w[used].tolist(), strict=True)), float(bias), len(pairs), left)
+    return ToxicityModel(dict(zip(x.columns[used].tolist(), w[used].tolist(), strict=True)), float(bias), len(pairs), left, filled)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, folds: int = 5, held_out: int = 0, groups=IDENTITY_GROUPS, **options) -> ToxicityModel:
@@ -159,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, folds: int
     from pyspark.sql import functions as F
 
     sample = training_sample(docs, labels, "toxic", fold(F.col("doc_id"), folds) != held_out, max_rows)
-    return fit(*collected(sample, WordIndicators, counterfactuals(groups)), **options)
+    return fit(*collected(sample, WordIndicators, counterfactuals(groups)), **{"keep": term_features(groups), **options})
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

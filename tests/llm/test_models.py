@@ -177,19 +177,34 @@ def test_counterfactuals_work_at_the_default_weight(terms):
 def test_counterfactuals_of_texts_without_terms():
     variants = toxicity.counterfactuals(toxicity.IDENTITY_GROUPS)
     for text in ("", "a b c", "no such term in this"):
-        one, two = variants(text)
+        (bare, one), (again, two), swapped = variants(text)
+        assert bare == again == text and swapped == (one, two)
         terms = [next(w for w in v.split(" ") if w and w not in text.split(" ")) for v in (one, two)]
         assert terms[0] != terms[1] and any(set(terms) <= set(g) for g in toxicity.IDENTITY_GROUPS)
         assert [w for w in one.split(" ") if w != terms[0]] == text.split(" ")
-    assert variants("Gay men") == ["lesbian women", "transgender women"]
+    assert variants("Gay men") == [("Gay men", "lesbian women"), ("Gay men", "transgender women")]
 
 
-@pytest.mark.parametrize("sf", ["sf0.01"])
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(st.text(max_size=30), st.lists(st.sampled_from(["chriſtian", "whıte", "İnmigrantes", "WEISSE", "weiße", "Gay", "MEN", "x", "ﬁn"]), max_size=5).map(" ".join)))
+def test_any_text_has_counterfactuals(text):
+    assert all(isinstance(a, str) and a != b for a, b in toxicity.counterfactuals(toxicity.IDENTITY_GROUPS)(text))
+
+
+def test_terms_are_found_whatever_their_case():
+    swap = toxicity.swapper(toxicity.IDENTITY_GROUPS)
+    assert swap("CHRISTIAN") == swap("chriſtian") == ["jewish", "muslim"] and swap("WEISSE")[0] == swap("weiße")[0] and swap("whıte") == []
+    with pytest.raises(ValueError, match="single"):
+        toxicity.swapper((("two words", "x"),))
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_the_penalty_acts_on_the_given_tables(spark, sf):
     docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
     rows, y, changes = collected(training_sample(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0, 10_000), WordIndicators, toxicity.counterfactuals(toxicity.IDENTITY_GROUPS))
-    free, plain = toxicity.fit(rows, y, changes), toxicity.fit(rows, y, changes, counterfactual=0.0)
-    assert free.pairs == plain.pairs == 2 * len(y) > 0 and free.change < 0.7 * plain.change
+    terms = toxicity.term_features(toxicity.IDENTITY_GROUPS)
+    free, plain = (toxicity.fit(rows, y, changes, counterfactual=weight, keep=terms) for weight in (1.0, 0.0))
+    assert free.pairs == plain.pairs >= 2 * len(y) > 0 and free.change < 0.7 * plain.change and free.filled > 0.9
 
 
 def brute_toxicity(x, y, more, less, l1, weight):
