@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 PINNED = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,3 +28,21 @@ def build_session(app: str = "lodestone", master: str | None = None, **conf: str
 def load(spark: SparkSession, sf_dir: str, name: str):
     """One table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share; a session on one machine without it gets one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or "-" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="lodestone-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: lineage ends there, and lost executors lose nothing of it."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
