@@ -62,7 +62,7 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """As mapInArrow, for any column names (it can't take names with dots); what Arrow keeps free goes back when a task ends."""
     names = df.columns
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import map_arrow, materialise
 from .token_shards import slices
 
 BUCKETS = 10_000
@@ -36,9 +36,11 @@ RANGE = 625
 #: Slices that meet the gains of a range in one group.
 BLOCKS = 64
 #: Bytes of text in a slice, and the most texts in it.
-SLICE, TEXTS = 4_000_000, 30_000
+SLICE, TEXTS = 1_000_000, 30_000
+#: The most that one posting counts; of more there are several.
+MOST = 255
 #: Words whose runs are hashed at a time.
-WORDS = 400_000
+WORDS = 100_000
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 64
 #: Partitions whose totals (16 bytes each) may be broadcast.
@@ -138,14 +140,17 @@ class Words:
 
 
 def write_postings(texts: DataFrame, buckets: int = BUCKETS, width: int = RANGE) -> DataFrame:
-    """The postings table of (id, text): block, part, sizes (postings of each bucket of the range), docs, counts; and one row a block with part -1: ids, n_words."""
+    """The postings table of (id, text): block, part, sizes (postings of each bucket of the range), docs (2 bytes each), counts (1 byte each); and one row a block with part -1: ids, n_words."""
     id_type = texts.schema["id"].dataType.simpleString()
-    schema = f"block long, part int, sizes array<int>, docs array<smallint>, counts array<int>, ids array<{id_type}>, n_words array<long>"
+    schema = f"block long, part int, sizes array<int>, docs binary, counts binary, ids array<{id_type}>, n_words array<long>"
     parts = -(-buckets // width)
 
     def lists(ends: np.ndarray, values: pa.Array) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
+    def cut(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -155,6 +160,9 @@ def write_postings(texts: DataFrame, buckets: int = BUCKETS, width: int = RANGE)
                     words = Words(piece.column("text"))
                     key, n = words.postings(buckets)
                     texts_in = int(words.text[-1]) + 1 if len(words.text) else 1
+                    times = -(-n // MOST)
+                    key, last, n = np.repeat(key, times), np.cumsum(times) - 1, np.repeat(n - MOST * (times - 1), times)
+                    n[np.isin(np.arange(len(n)), last, invert=True)] = MOST
                     bucket = key // texts_in
                     sizes = np.bincount(bucket, minlength=parts * width)
                     ends = np.append(0, np.cumsum(sizes.reshape(parts, width).sum(axis=1)))
@@ -165,8 +173,8 @@ def write_postings(texts: DataFrame, buckets: int = BUCKETS, width: int = RANGE)
                             pa.array(np.full(parts + 1, block)),
                             pa.array(np.arange(-1, parts), pa.int32()),
                             lists(np.append(0, np.arange(parts + 1) * width), pa.array(sizes, pa.int32())),
-                            lists(np.append(0, ends), pa.array(key - bucket * texts_in, pa.int16())),
-                            lists(np.append(0, ends), pa.array(n, pa.int32())),
+                            cut(np.append(0, ends * 2), (key - bucket * texts_in).astype("<u2")),
+                            cut(np.append(0, ends), n.astype(np.uint8)),
                             lists(np.append(0, np.full(parts + 1, len(ids))), ids),
                             lists(np.append(0, np.full(parts + 1, len(ids))), pa.array(n_words, pa.int64())),
                         ],
@@ -174,7 +182,7 @@ def write_postings(texts: DataFrame, buckets: int = BUCKETS, width: int = RANGE)
                     )
                     block += 1
 
-    return materialise(texts.mapInArrow(run, schema), "postings")
+    return materialise(map_arrow(texts, run, schema), "postings")
 
 
 def bucket_counts(postings: DataFrame, width: int = RANGE) -> DataFrame:
@@ -184,14 +192,14 @@ def bucket_counts(postings: DataFrame, width: int = RANGE) -> DataFrame:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, part in enumerate(batch.column("part").to_pylist()):
-                sizes, counts = (batch.column(c)[i].values.to_numpy() for c in ("sizes", "counts"))
+                sizes, counts = batch.column("sizes")[i].values.to_numpy(), np.frombuffer(batch.column("counts")[i].as_py(), np.uint8)
                 running = np.append(0, np.cumsum(counts, dtype=np.int64))
                 ends = np.cumsum(sizes, dtype=np.int64)
                 total[part] = total.get(part, 0) + running[ends] - running[ends - sizes]
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.int64()))], names=["part", "sums"])
 
-    sums = postings.filter("part >= 0").select("part", "sizes", "counts").mapInArrow(run, "part int, sums array<long>")
+    sums = map_arrow(postings.filter("part >= 0").select("part", "sizes", "counts"), run, "part int, sums array<long>")
     return sums.select("part", F.posexplode("sums").alias("at", "n")).filter("n > 0").groupBy((F.col("part") * width + F.col("at")).alias("bucket")).agg(F.sum("n").alias("n"))
 
 
@@ -215,21 +223,23 @@ def weigh(postings: DataFrame, gains: DataFrame, width: int = RANGE) -> DataFram
     salts = max(1, -(-postings.filter("part < 0").count() // BLOCKS))
     salted = rows.select("block", "part", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), "sizes", "docs", "counts")
     dealt = dense.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    met = salted.join(dealt, ["part", "salt"])
 
-    def contribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, block in enumerate(batch.column("block").to_pylist()):
-                sizes, docs, counts, gain = (batch.column(c)[i].values.to_numpy() for c in ("sizes", "docs", "counts", "gains"))
-                each = np.repeat(gain, sizes) * counts
-                order = np.argsort(docs, kind="stable")
-                doc, first = np.unique(docs[order], return_index=True)
+    def contribute(blocks: pa.Table, own: pa.Table) -> pa.Table:
+        """What a group's postings give to the documents of each slice."""
+        found = []
+        for gain in own.column("gains"):  # one row, the range's
+            for block, sizes, docs, counts in zip(*(blocks.column(c) for c in ("block", "sizes", "docs", "counts")), strict=True):
+                each = np.repeat(gain.values.to_numpy(), sizes.values.to_numpy()) * np.frombuffer(counts.as_py(), np.uint8)
+                doc = np.frombuffer(docs.as_py(), "<u2")
+                order = np.argsort(doc, kind="stable")
+                doc, first = np.unique(doc[order], return_index=True)
                 weight = np.add.reduceat(each[order], first) if len(doc) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), block)), pa.array(doc, pa.int16()), pa.array(weight, pa.int64())], names=["block", "doc", "weight"])
+                found.append(pa.table({"block": np.full(len(doc), block.as_py()), "doc": doc.astype(np.int32), "weight": weight}))
+        return pa.concat_tables(found) if found else pa.table({"block": pa.array([], pa.int64()), "doc": pa.array([], pa.int32()), "weight": pa.array([], pa.int64())})
 
-    given = met.select("block", "sizes", "docs", "counts", "gains").mapInArrow(contribute, "block long, doc smallint, weight long")
+    given = salted.groupBy("part", "salt").cogroup(dealt.groupBy("part", "salt")).applyInArrow(contribute, "block long, doc int, weight long")
     heads = postings.filter("part < 0").select("block", F.posexplode(F.arrays_zip("ids", "n_words")).alias("doc", "of"))
-    heads = heads.select("block", F.col("doc").cast("smallint"), F.lit(0).cast("long").alias("weight"), F.col("of.ids").alias("id"), F.col("of.n_words").alias("n_words"))
+    heads = heads.select("block", "doc", F.lit(0).cast("long").alias("weight"), F.col("of.ids").alias("id"), F.col("of.n_words").alias("n_words"))
     both = heads.unionByName(given, allowMissingColumns=True)
     return both.groupBy("block", "doc").agg(F.max("id").alias("id"), F.max("n_words").alias("n_words"), F.sum("weight").alias("weight")).drop("block", "doc")
 

@@ -82,3 +82,9 @@ def test_nothing_to_draw_from(spark):
     nothing = docs.limit(0)
     assert resample(nothing, docs).collect() == []
     assert {(x["doc_id"], x["n_features"], x["rank"]) for x in resample(docs, nothing).collect()} == {(1, 3, None), (2, 0, None)}
+
+
+def test_many_repeats_of_a_feature(spark):
+    docs = [(1, "same " * 1000), (2, "same " * 255 + "other"), (3, "same " * 256)]
+    got = resample(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([("same same",)], "text string"), percent=50)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain_resample(docs, ["same same"], 50, 20)))
