@@ -131,10 +131,10 @@ ledger AS (SELECT *, CASE WHEN excluded IS NULL THEN gross - 0.001 END AS net FR
 
 def q13_daily_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _daily_book(spark, sf_dir)
-    return d.select("signal_date", "top_n", "construction", "universe", F.array_join("weak_symbols", ",").alias("weak"), F.array_join("strong_symbols", ",").alias("strong"), R(F.col("gross")).alias("gross"), R(F.col("net")).alias("net"), "excluded")
+    return d.select("signal_date", "top_n", "construction", "universe", F.array_join("weak_symbols", ",").alias("weak"), F.array_join("strong_symbols", ",").alias("strong"), (R(F.col("gross")) + 0.0).alias("gross"), (R(F.col("net")) + 0.0).alias("net"), "excluded")
 
 
-Q13D = f"WITH {BOOK} SELECT signal_date, top_n, construction, universe, array_to_string(weak_symbols, ',') AS weak, array_to_string(strong_symbols, ',') AS strong, round(gross, 6) AS gross, round(net, 6) AS net, excluded FROM ledger"
+Q13D = f"WITH {BOOK} SELECT signal_date, top_n, construction, universe, array_to_string(weak_symbols, ',') AS weak, array_to_string(strong_symbols, ',') AS strong, round(gross, 6) + 0.0 AS gross, round(net, 6) + 0.0 AS net, excluded FROM ledger"
 
 SCOPES = [("DISCOVERY", "2024-01-01", "2024-01-14"), ("INNER", "2024-01-15", "2024-01-22"), ("OUTER", "2024-01-23", "2024-01-31"), ("COMBINED", "2024-01-15", "2024-01-31")]
 
@@ -185,42 +185,6 @@ def q11_tail_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q11 = f"WITH {LEDGER}, n AS (SELECT *, gross - 0.01 AS net FROM led) SELECT l_returnflag, l_linestatus, l_linenumber, md5(concat_ws('|', l_returnflag, l_linestatus, l_linenumber)) AS candidate_id, {metrics_sql('net')} FROM n GROUP BY l_returnflag, l_linestatus, l_linenumber"
 
-#: Magnitude bands, closed below and open above (fixed values of the pair campaign, scaled to the stand-in).
-BANDS = [("all", 0.0, None), (">=0.01", 0.01, None), (">=0.03", 0.03, None), (">=0.05", 0.05, None), ("0.01:0.03", 0.01, 0.03), ("0.03:0.05", 0.03, 0.05)]
-BANDS_SQL = "bands(band, lo, hi) AS (VALUES " + ", ".join(f"('{b}', {lo}::DOUBLE, {'NULL' if hi is None else hi}::DOUBLE)" for b, lo, hi in BANDS) + ")"
-
-
-def q8_pair_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly statistics of all signals, exits, bands and styles in one pass: signals and exits are stacked, bands a broadcast theta join."""
-    d = _ledger(spark, sf_dir).withColumn("year", F.year("day"))
-    x = d.select("year", "l_returnflag", F.expr("stack(2, 'gross', gross, 'half', gross / 2) as (signal, div)"), F.expr("l_quantity / 1000 as q"))
-    x = x.select("year", "l_returnflag", "signal", "div", F.expr("stack(2, 'near', q, 'far', q - 0.02) as (exit, spread)"))
-    bands = spark.createDataFrame(BANDS, "band string, lo double, hi double")
-    met = x.join(F.broadcast(bands), (F.abs("div") >= F.col("lo")) & (F.col("hi").isNull() | (F.abs("div") < F.col("hi"))))
-    met = met.withColumn("style", F.explode(F.array(F.lit(1), F.lit(-1)))).withColumn("net", F.col("style") * F.signum("div") * F.col("spread") - 0.005)
-    m = trade_metrics(F.col("net"))
-    return met.groupBy("signal", "exit", "l_returnflag", "band", "style", "year").agg(F.count("*").alias("n"), *[(R(m[k]) + F.lit(0.0)).alias(k) for k in ("avg_net", "median_net", "win_rate", "worst", "best")])
-
-
-PAIR = f"""{LEDGER}, {BANDS_SQL}, x AS (SELECT year(day) AS year, l_returnflag, signal, CASE signal WHEN 'gross' THEN gross ELSE gross / 2 END AS div, exit, CASE exit WHEN 'near' THEN l_quantity / 1000 ELSE l_quantity / 1000 - 0.02 END AS spread, style
-  FROM led CROSS JOIN (VALUES ('gross'), ('half')) a(signal) CROSS JOIN (VALUES ('near'), ('far')) b(exit) CROSS JOIN (VALUES (1), (-1)) c(style)),
-y AS (SELECT signal, exit, l_returnflag, band, style, year, style * sign(div) * spread - 0.005 AS net FROM x JOIN bands ON abs(div) >= lo AND (hi IS NULL OR abs(div) < hi)),
-years AS (SELECT signal, exit, l_returnflag, band, style, year, count(*) AS n, {', '.join(f'round({MET[k].format(n="net")}, 6) + 0.0 AS {k}' for k in ('avg_net', 'median_net', 'win_rate', 'worst', 'best'))} FROM y GROUP BY signal, exit, l_returnflag, band, style, year)"""
-Q8 = f"WITH {PAIR} SELECT * FROM years"
-
-
-def q9_discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Definitions that hold in most years: counts, positive years, worst and mean year."""
-    y, keys = q8_pair_ledger(spark, sf_dir), ["signal", "exit", "l_returnflag", "band", "style"]
-    a = y.groupBy(*keys).agg(F.count("*").alias("years"), F.count_if(F.col("avg_net") > 0).alias("positive_years"), F.sum("n").alias("total_n"), F.min("n").alias("min_year_n"), F.min("avg_net").alias("worst_year"), R(F.avg("avg_net")).alias("mean_year"))
-    return a.filter("years >= 5 and positive_years >= 4 and min_year_n >= 15 and mean_year > 0 and worst_year > -0.10").withColumn("candidate_id", F.md5(F.concat_ws("|", *keys)))
-
-
-Q9 = f"""WITH {PAIR} SELECT signal, exit, l_returnflag, band, style, count(*) AS years, count(*) FILTER (WHERE avg_net > 0) AS positive_years, sum(n)::BIGINT AS total_n, min(n) AS min_year_n, min(avg_net) AS worst_year,
-  round(avg(avg_net), 6) AS mean_year, md5(concat_ws('|', signal, exit, l_returnflag, band, style)) AS candidate_id FROM years GROUP BY signal, exit, l_returnflag, band, style
-HAVING count(*) >= 5 AND count(*) FILTER (WHERE avg_net > 0) >= 4 AND min(n) >= 15 AND round(avg(avg_net), 6) > 0 AND min(avg_net) > -0.10"""
-
-
 def q16_drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compounded return and largest drawdown of each definition's daily mean return."""
     d = _ledger(spark, sf_dir).groupBy("l_returnflag", "day").agg(F.round(F.avg("gross"), 9).alias("net"))
@@ -341,6 +305,6 @@ y AS (SELECT *, row_number() OVER (PARTITION BY signal_date, feature ORDER BY v,
 b AS (SELECT signal_date, feature, k, 0.5 * avg(ret) FILTER (WHERE lo <= k) - 0.5 * avg(ret) FILTER (WHERE hi <= k) AS rev FROM y CROSS JOIN (VALUES (1), (3), (5)) t(k) WHERE n >= 2 * k GROUP BY ALL),
 z AS (SELECT feature, k, style, CASE style WHEN 'REVERSAL' THEN rev - 0.001 ELSE -rev - 0.001 END AS net FROM b CROSS JOIN (VALUES ('REVERSAL'), ('CONTINUATION')) s(style)) SELECT feature, k, style, {metrics_sql('net')} FROM z GROUP BY ALL"""
 
-_FUNCTIONS = (q17_network_forecast, q13_composite_ranks, q13_daily_baskets, q13_scope_metrics, q22_gates, q11_tail_metrics, q8_pair_ledger, q9_discovery_summary, q16_drawdown, q16_pair_holdout, q20_tail_states, q12_spread_books, q23_fdr, q24_newey_west, w17_rolling_and_octiles, q19_basket_family)
+_FUNCTIONS = (q17_network_forecast, q13_composite_ranks, q13_daily_baskets, q13_scope_metrics, q22_gates, q11_tail_metrics, q16_drawdown, q16_pair_holdout, q20_tail_states, q12_spread_books, q23_fdr, q24_newey_west, w17_rolling_and_octiles, q19_basket_family)
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
-ORACLES = dict(zip(QUERIES, (Q17, Q13R, Q13D, Q13M, Q22, Q11, Q8, Q9, Q16D, Q16P, Q20, Q12, Q23, Q24, W17, Q19), strict=True))
+ORACLES = dict(zip(QUERIES, (Q17, Q13R, Q13D, Q13M, Q22, Q11, Q16D, Q16P, Q20, Q12, Q23, Q24, W17, Q19), strict=True))

@@ -33,7 +33,7 @@ def q4_daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 DAILY = f"""day AS (
   SELECT symbol, CAST({NYB} AS DATE) AS trade_date, min(bar_ts) AS first_bar_ts, max(bar_ts) AS last_bar_ts, arg_min(open, bar_ts) AS open, max(high) AS high,
          min(low) AS low, arg_max(close, bar_ts) AS close, sum(volume)::BIGINT AS volume, sum(trade_count)::BIGINT AS trade_count, count(*) AS bar_count,
-         sum(vwap * volume) / nullif(sum(volume), 0) AS vwap, stddev_samp(ln(close / nullif(prev, 0))) AS realised_volatility
+         sum(vwap * volume) / nullif(sum(volume), 0) AS vwap, stddev_samp(ln(nullif(close, 0) / nullif(prev, 0))) AS realised_volatility
   FROM (SELECT *, lag(close) OVER (PARTITION BY symbol, session_label, CAST({NYB} AS DATE) ORDER BY bar_ts) AS prev FROM SRC) GROUP BY ALL)"""
 DAILY_OUT = """SELECT symbol, trade_date, first_bar_ts, last_bar_ts, open, high, low, close, volume, trade_count, bar_count, round(vwap, 6) AS vwap,
   round(CASE WHEN open <> 0 THEN (close / open - 1) * 100 END, 6) AS return_pct, round(CASE WHEN open <> 0 THEN (high - low) / open * 100 END, 6) AS range_pct,
@@ -266,16 +266,19 @@ FROM q WINDOW w AS (PARTITION BY symbol ORDER BY bar_ts), w14 AS (PARTITION BY s
 
 
 def q51_quote_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First valid tick per symbol at least a second after each hour and within ten minutes, with its latency."""
-    t = ticks(spark, sf_dir).filter("price > 0 and size > 0")
+    """Every symbol and hour in which it trades with its first valid tick at least a second after the hour and within ten minutes, or nulls."""
+    t = ticks(spark, sf_dir)
     hour = F.date_trunc("hour", "ts")
     late = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(hour.cast("timestamp"))) / 1000
-    near = t.withColumn("target", hour.cast("timestamp_ntz")).withColumn("latency_ms", late).filter("latency_ms >= 1000 and latency_ms <= 600000")
-    return latest_per_key(near, ["symbol", "target"], F.col("latency_ms").asc(), F.col("tick_id").asc()).select("symbol", "target", "tick_id", R(F.col("latency_ms"), 3).alias("latency_ms"))
+    t = t.withColumn("target", hour.cast("timestamp_ntz")).withColumn("latency_ms", late)
+    valid = F.expr("price > 0 and size > 0 and latency_ms >= 1000 and latency_ms <= 600000")
+    first = F.min(F.when(valid, F.struct("latency_ms", "tick_id")))
+    return t.groupBy("symbol", "target").agg(first.alias("f")).select("symbol", "target", "f.tick_id", R(F.col("f.latency_ms"), 3).alias("latency_ms"))
 
 
-Q51 = f"""WITH {TICKS}, n AS (SELECT *, date_trunc('hour', ts)::TIMESTAMP AS target, (epoch_us(ts) - epoch_us(date_trunc('hour', ts)::TIMESTAMP)) / 1000 AS latency_ms FROM ticks WHERE price > 0 AND size > 0)
-SELECT symbol, target, tick_id, round(latency_ms, 3) AS latency_ms FROM n WHERE latency_ms >= 1000 AND latency_ms <= 600000 QUALIFY row_number() OVER (PARTITION BY symbol, target ORDER BY latency_ms, tick_id) = 1"""
+Q51 = f"""WITH {TICKS}, n AS (SELECT *, date_trunc('hour', ts)::TIMESTAMP AS target, (epoch_us(ts) - epoch_us(date_trunc('hour', ts)::TIMESTAMP)) / 1000 AS latency_ms FROM ticks),
+v AS (SELECT * FROM n WHERE price > 0 AND size > 0 AND latency_ms >= 1000 AND latency_ms <= 600000 QUALIFY row_number() OVER (PARTITION BY symbol, target ORDER BY latency_ms, tick_id) = 1)
+SELECT t.symbol, t.target, v.tick_id, round(v.latency_ms, 3) AS latency_ms FROM (SELECT DISTINCT symbol, target FROM n) t LEFT JOIN v ON v.symbol = t.symbol AND v.target = t.target"""
 
 
 def a14_pivot_hours(spark: SparkSession, sf_dir: str) -> DataFrame:

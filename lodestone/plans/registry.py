@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import campaigns, discovery, events, evidence, filings, intraday, lookups, market, reports, scanner, technicals
+from . import campaigns, discovery, events, evidence, filings, intraday, lookups, market, pairs, reports, ridge, scanner, technicals
 
 FLAGSHIP = "q4_daily_features"
-_MODULES = (market, campaigns, events, reports, scanner, discovery, lookups, technicals, intraday, filings, evidence)
+_MODULES = (market, campaigns, events, reports, scanner, discovery, lookups, technicals, intraday, filings, evidence, pairs, ridge)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
