@@ -127,17 +127,6 @@ def q43_pr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q43P = f"""WITH {SAMPLES}, r AS (SELECT lang, target, sum(target::INT) OVER w AS tp, row_number() OVER w AS k FROM s WINDOW w AS (PARTITION BY lang ORDER BY score DESC, doc_id)) SELECT lang, round(sum(tp / k) FILTER (WHERE target) / nullif(count(*) FILTER (WHERE target), 0), 6) AS pr_auc FROM r GROUP BY 1"""
 
-def q34_local_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences that name the subject and an event word but no negation: attribution is local to the sentence."""
-    d = load(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.split(F.lower("text"), r"[.!?\n]+")).alias("s"))
-    local = d.filter(F.col("s").rlike(r"(^|[^a-z])(the|der|la)([^a-z]|$)") & F.col("s").rlike("th|ch|qu") & ~F.col("s").rlike(r"(^|[^a-z])(not|nicht|no)([^a-z]|$)"))
-    return local.groupBy("conv_id", "turn").agg(F.count("*").alias("sentences"), F.max(F.length(F.trim("s"))).alias("longest"))
-
-
-Q34 = r"""WITH d AS (SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '[.!?\n]+')) AS s FROM conversations)
-SELECT conv_id, turn, count(*) AS sentences, max(length(trim(s))) AS longest FROM d WHERE regexp_matches(s, '(^|[^a-z])(the|der|la)([^a-z]|$)') AND regexp_matches(s, 'th|ch|qu') AND NOT regexp_matches(s, '(^|[^a-z])(not|nicht|no)([^a-z]|$)') GROUP BY ALL"""
-
-
 def q32_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stress pass rate of each supplier over six scenarios of cost and balance."""
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
@@ -189,7 +178,7 @@ Q59 = "WITH p AS (SELECT p_partkey, p_brand, array_to_string(list_sort(regexp_sp
 
 _SQL = {
     "q14_freeze": Q14, "q15_sequential_holdout": Q15, "q10_context_postprocess": Q10, "q18_rank_regimes": Q18, "q41_checkpoints": Q41, "q44_expanding_folds": Q44, "q43_pr_auc": Q43P,
-    "q34_local_attribution": Q34, "q32_scenarios": Q32, "a19_object_aggregates": A19, "q60_taxonomy": Q60, "q59_alias_match": Q59,
+    "q32_scenarios": Q32, "a19_object_aggregates": A19, "q60_taxonomy": Q60, "q59_alias_match": Q59,
 }
 QUERIES = {name: globals()[name] for name in _SQL}
 ORACLES = _SQL
