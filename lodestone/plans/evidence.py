@@ -22,12 +22,12 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q33_evidence_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of each article, named by its founder."""
-    return provenance_clusters(articles(spark, sf_dir)).select("group", "position", "founder")
+    return provenance_clusters(articles(spark, sf_dir)).select(F.col("group").alias("candidate"), "position", "founder")
 
 
 def q33_cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Independent clusters of each candidate, the risk of resting on one, and the confidence they allow."""
-    return cluster_summary(provenance_clusters(articles(spark, sf_dir)))
+    return cluster_summary(provenance_clusters(articles(spark, sf_dir))).withColumnRenamed("group", "candidate")
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
@@ -43,10 +43,10 @@ links AS (
 reach(g, p, r) AS (SELECT g, later, earlier FROM links UNION SELECT x.g, x.p, l.earlier FROM reach x JOIN links l ON l.g = x.g AND l.later = x.r),
 firsts AS (SELECT g, p, min(r) AS r FROM reach GROUP BY g, p),
 named AS (SELECT art.*, coalesce(f.r, art.p) AS founder FROM art LEFT JOIN firsts f ON f.g = art.g AND f.p = art.p)"""
-Q33 = f'WITH RECURSIVE {CLUSTERS} SELECT g AS "group", p AS position, founder FROM named'
+Q33 = f'WITH RECURSIVE {CLUSTERS} SELECT g AS candidate, p AS position, founder FROM named'
 Q33S = f"""WITH RECURSIVE {CLUSTERS}, each AS (SELECT g, founder, bool_or(root IS NOT NULL) AS prim, max(authority) AS a, count(*) AS n FROM named GROUP BY g, founder),
 s AS (SELECT g, sum(n)::BIGINT AS articles, max(n) AS largest, count(*) AS clusters, count(*) FILTER (prim) AS primary_clusters, count(*) FILTER (a >= 2.0) AS strong_clusters FROM each GROUP BY g)
-SELECT g AS "group", articles, largest, clusters, primary_clusters, strong_clusters, clusters - 1 AS leave_one_out, CASE clusters WHEN 1 THEN 85.0 WHEN 2 THEN 45.0 WHEN 3 THEN 20.0 ELSE 5.0 END::DOUBLE AS dependency_risk,
+SELECT g AS candidate, articles, largest, clusters, primary_clusters, strong_clusters, clusters - 1 AS leave_one_out, CASE clusters WHEN 1 THEN 85.0 WHEN 2 THEN 45.0 WHEN 3 THEN 20.0 ELSE 5.0 END::DOUBLE AS dependency_risk,
   CASE WHEN clusters >= 3 AND primary_clusters > 0 THEN 96.0 WHEN clusters = 1 AND primary_clusters > 0 THEN 78.0 WHEN clusters = 1 THEN 62.0 WHEN primary_clusters > 0 THEN 92.0 WHEN strong_clusters >= 2 THEN 82.0 ELSE 70.0 END::DOUBLE AS confidence_cap FROM s"""
 
 
