@@ -62,9 +62,20 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
+#: Bytes of a batch that goes to or comes from Python at a time, unless the session says otherwise; Spark's own bound is eight times that.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of whole texts, of which JVM and Python hold several at once, in a session that has Spark's default."""
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING) and spark.conf.get(BATCH_SETTING, "67108864b") == "67108864b":
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """As mapInArrow, for any column names (it can't take names with dots); what Arrow keeps free goes back when a task ends."""
     names = df.columns
+    small_batches(df.sparkSession)
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)

@@ -120,8 +120,8 @@ class Shard:
         return out
 
 
-def scan(batches: Iterator[pa.RecordBatch], phrases: Phrases, text_col: str, shard_symbols: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Whole documents in, the same rows with word counts, hit spans (in words) and item names out."""
+def scan(batches: Iterator[pa.RecordBatch], phrases: Phrases, text_col: str, shard_symbols: int, schema: pa.Schema, cut: bool = False) -> Iterator[pa.RecordBatch]:
+    """Whole documents in, the same rows with word counts, hit spans (in words) and item names out; with cut, the texts without the spans."""
 
     def done(held: list[pa.RecordBatch], shard: Shard) -> Iterator[pa.RecordBatch]:
         results = shard.search()
@@ -133,7 +133,10 @@ def scan(batches: Iterator[pa.RecordBatch], phrases: Phrases, text_col: str, sha
                 pa.array([[{"start": a, "stop": b} for a, b in s.tolist()] for _, s, _ in own], schema.field("spans").type),
                 pa.array([i for _, _, i in own], schema.field("items").type),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *NEW])
+            kept = dict(zip(batch.schema.names, batch.columns, strict=True))
+            if cut:
+                kept[text_col] = pa.array([cut_spans(t, [{"start": a, "stop": b} for a, b in s.tolist()]) for t, (_, s, _) in zip(kept[text_col].to_pylist(), own, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*kept.values(), *columns], names=[*kept, *NEW])
 
     held, shard = [], Shard(phrases)
     for batch in batches:
@@ -150,9 +153,12 @@ def scan(batches: Iterator[pa.RecordBatch], phrases: Phrases, text_col: str, sha
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = 10, block_bytes: int = 16_000_000, shard_symbols: int = 500_000,
+    window: int = 10, block_bytes: int = 16_000_000, shard_symbols: int = 500_000, cut: bool = False,
 ) -> DataFrame:
-    """Adds n_words, n_hit, spans (hit words as [start, stop) word numbers, merged) and items (names, sorted)."""
+    """Adds n_words, n_hit, spans (hit words as [start, stop) word numbers, merged) and items (names, sorted).
+
+    With cut the texts lose their hit spans. Every block_bytes of benchmark is a pass over all documents.
+    """
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").alias("text")).dropna()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, ceil(size / block_bytes))
@@ -163,7 +169,7 @@ def find_contamination(
     def one(block: int) -> DataFrame:
         own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         phrases = Phrases(((r["item"], r["text"]) for r in own), window)
-        return map_arrow(plain, lambda b: scan(b, phrases, text_col, shard_symbols, arrow), schema)
+        return map_arrow(plain, lambda b: scan(b, phrases, text_col, shard_symbols, arrow, cut and blocks == 1), schema)
 
     if blocks == 1:
         return one(0)
@@ -179,7 +185,8 @@ def find_contamination(
     spans = merge_spans(F.concat("spans", F.coalesce(f"{at}spans", F.array().cast("array<struct<start:int,stop:int>>"))))
     joined = joined.withColumn("spans", spans).withColumn("items", F.sort_array(F.array_distinct(F.concat("items", F.coalesce(f"{at}items", F.array().cast("array<string>"))))))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
-    return joined.withColumn("n_hit", hit).select(*[f"`{c}`" for c in schema.names])
+    found = joined.withColumn("n_hit", hit).select(*[f"`{c}`" for c in schema.names])
+    return without_spans(found, text_col) if cut else found
 
 
 def merge_spans(spans):
@@ -207,10 +214,8 @@ def cut_spans(text: str | None, spans: list) -> str | None:
     return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """As find_contamination, with the hit spans cut out of the texts."""
-    found = find_contamination(docs, benchmark, text_col=text_col, **options)
-    schema = found.schema
+def without_spans(found: DataFrame, text_col: str) -> DataFrame:
+    """The rows with their spans cut out of the texts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,4 +224,9 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
             columns[text_col] = pa.array(list(map(cut_spans, texts, spans)), pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return map_arrow(found, cut, schema)
+    return map_arrow(found, cut, found.schema)
+
+
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """As find_contamination, with the hit spans cut out of the texts."""
+    return find_contamination(docs, benchmark, text_col=text_col, cut=True, **options)

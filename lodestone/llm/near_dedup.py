@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, inner, materialise, reread, without
+from .common import drop_table, inner, materialise, reread, small_batches, without
 from .graph import components
 
 VALUES, CHUNKS, MAX_DIFFERENT = 64, 16, 31
@@ -138,6 +138,7 @@ class NearLinks:
 
     def __init__(self, docs: DataFrame, percent: int, shingle: int):
         self.docs, self.percent, self.shingle = docs, percent, shingle
+        small_batches(docs.sparkSession)
         self.id_type, self.temporary = docs.schema["id"].dataType.simpleString(), []
         schema = f"id {self.id_type}, version long, n long, f1 long, f2 long, signature array<long>"
         self.rows = materialise(docs.mapInArrow(lambda b: set_rows(b, shingle), schema), "sets")
