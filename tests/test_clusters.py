@@ -73,6 +73,29 @@ def test_long_chains_and_copies(spark):
     assert provenance_clusters(copies.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("block", [clusters.BLOCK if hasattr(clusters, "BLOCK") else 0, 100])
+def test_dead_ends_cost_no_rounds(spark, monkeypatch, block):
+    """Each of a long chain's places has a dead end of its own, earlier than those before it: no root leads on."""
+    monkeypatch.setattr(clusters, "BLOCK", block, raising=False)
+    rounds, write = [], clusters.written
+    monkeypatch.setattr(clusters, "written", lambda df, name: rounds.append(name) or write(df, name))
+    place = lambda i: F.struct(i.cast("long").alias("position"), F.lit(0).alias("id"))
+    i = F.col("id")
+    chain = spark.range(1, 200).select(F.lit("g").alias("group"), place(1000 + i).alias("later"), F.explode(F.array(place(1000 + i - 1), place(500 - i))).alias("earlier"))
+    found = earliest_reached(chain.union(spark.range(1).select(F.lit("g"), place(F.lit(1000)), place(F.lit(0)))))
+    assert {r["root"]["position"] for r in found.filter("place.position >= 1000").collect()} == {0} and found.count() == 400
+    assert rounds.count("reached") <= 7
+
+
+def test_unlike_sets_stay_where_they_are(spark, monkeypatch):
+    """Sets that share their rarest token but little else are told apart without their tokens."""
+    tables, write = {}, clusters.written
+    monkeypatch.setattr(clusters, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    r = random.Random(5)
+    frame = spark.createDataFrame([("g", f"k{i}", [f"r{i // 2}", *r.sample([f"t{j}" for j in range(400)], 60)]) for i in range(40)], "group string, key string, tokens array<string>")
+    assert similar_sets(frame, 70).count() == 0 and tables["candidate-sets"].count() > 0 and tables["sets"].count() == 0
+
+
 def test_tokens(spark):
     x = spark.createDataFrame([("The company SAID: ab abc 12 123 123",), (None,)], "t string").select(tokens_of(F.col("t")).alias("t")).collect()
     assert [r["t"] for r in x] == [["the", "abc", "123"], []]
