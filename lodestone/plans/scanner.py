@@ -83,7 +83,15 @@ SELECT o_orderkey, coalesce(tasks, 0) AS tasks, coalesce(done, 0) AS done, CASE
 
 def q37_fundamental_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High-confidence risk flags of suppliers: several conditions together, none for missing data."""
-    line = load(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.avg("l_discount").alias("d"), F.avg("l_tax").alias("t"), F.stddev_samp("l_quantity").alias("sd"))
+    rows = load(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
+    line = rows.groupBy("s_suppkey").agg(F.avg("l_discount").alias("d"), F.avg("l_tax").alias("t"), F.stddev_samp("l_quantity").alias("sd"))
+    # A sum of doubles depends on its order, so averages next to a limit are formed anew, line by line in the table's order.
+    edge = line.filter("abs(d - 0.0505) < 1e-9 or abs(t - 0.0395) < 1e-9").select("s_suppkey")
+    place = F.struct("l_orderkey", "l_linenumber")
+    w = Window.partitionBy("s_suppkey").orderBy("l_orderkey", "l_linenumber").rowsBetween(Window.unboundedPreceding, 0)
+    run = rows.join(edge, "s_suppkey").select("s_suppkey", place.alias("place"), *[(F.sum(c).over(w) / F.count(c).over(w)).alias(n) for c, n in (("l_discount", "d"), ("l_tax", "t"))])
+    anew = run.groupBy("s_suppkey").agg(F.max_by(F.struct("d", "t"), "place").alias("anew"))
+    line = line.join(anew, "s_suppkey", "left").select("s_suppkey", F.coalesce("anew.d", "d").alias("d"), F.coalesce("anew.t", "t").alias("t"), "sd")
     s = load(spark, sf_dir, "supplier").join(line, "s_suppkey", "left")
     flags = F.array_compact(F.array(F.when(F.col("d") >= 0.0505, "dilution"), F.when((F.col("s_acctbal") < 1000) & (F.col("t") >= 0.0395), "solvency"), F.when(F.col("sd") > 14.5, "volatile")))
     return s.select("s_suppkey", F.array_join(flags, ",").alias("flags"))
