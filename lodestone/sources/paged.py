@@ -2,7 +2,7 @@
 
 spark.read.format("market_pages").option("kind", "bars").option("root", ...).option("symbols", "A,B").option("start", ...).option("end", ...).load()
 
-A partition asks for its first page and then for each page that the last one names, so a reader holds one page at a time, and a
+A task sees the symbols of its own requests alone. A partition asks for its first page and then for each page that the last one names, so a reader holds one page at a time, and a
 lost executor repeats its own batch and window alone. Pages come from a transport: a function of (root, kind, symbols, start, end, token) that
 gives a page, the JSON object {kind: {symbol: [row, ...]}, "next_page_token": token or null}. The transport at hand reads landed
 pages from any file system that Arrow reaches (root/kind/batch=<key>/window=<start>/page=<token>/); a client of a live service takes its place by
@@ -25,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Symbols of one request, and days of one window (fixed values of the loader's defaults).
 BATCH_SYMBOLS, WINDOW_DAYS = 20, 7
+#: Requests beyond which a task takes several of them, one after the other.
+MOST_TASKS = 256
 #: Each kind's columns by the payload's field, with their types.
 FIELDS = {
     "bars": {"t": ("ts", "string"), "o": ("open", "double"), "h": ("high", "double"), "l": ("low", "double"), "c": ("close", "double"), "v": ("volume", "double"), "n": ("trade_count", "bigint"), "vw": ("vwap", "double")},
@@ -62,6 +64,11 @@ class Request(InputPartition):
     end: str
 
 
+@dataclass
+class Requests(InputPartition):
+    requests: list[Request]
+
+
 class PageReader(DataSourceReader):
     def __init__(self, options: dict[str, str], transport: Callable[..., dict[str, Any]]):
         self.root, self.kind, self.transport = options["root"], options["kind"], transport
@@ -69,13 +76,23 @@ class PageReader(DataSourceReader):
         self.start, self.end = date.fromisoformat(options["start"]), date.fromisoformat(options["end"])
         self.size, self.days = int(options.get("batchsymbols", BATCH_SYMBOLS)), int(options.get("windowdays", WINDOW_DAYS))
 
-    def partitions(self) -> list[Request]:
-        """Batches of symbols by windows from start to end (the last one cut off, end not included)."""
+    def __getstate__(self) -> dict[str, Any]:
+        """What a task needs: its own symbols come with its partition, all of them would go to every task."""
+        return {**self.__dict__, "symbols": []}
+
+    def partitions(self) -> list[InputPartition]:
+        """Batches of symbols by windows from start to end (the last one cut off, end not included); very many are dealt to fewer tasks."""
         starts = [self.start + timedelta(days=d) for d in range(0, max((self.end - self.start).days, 0), self.days)]
         batches = [self.symbols[i : i + self.size] for i in range(0, len(self.symbols), self.size)]
-        return [Request(b, s.isoformat(), min(s + timedelta(days=self.days), self.end).isoformat()) for b in batches for s in starts]
+        requests = [Request(b, s.isoformat(), min(s + timedelta(days=self.days), self.end).isoformat()) for b in batches for s in starts]
+        each = -(-len(requests) // MOST_TASKS)
+        return requests if each <= 1 else [Requests(requests[i : i + each]) for i in range(0, len(requests), each)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for request in partition.requests if isinstance(partition, Requests) else [partition]:
+            yield from self.pages(request)
 
-    def read(self, partition: Request) -> Iterator[pa.RecordBatch]:
+    def pages(self, partition: Request) -> Iterator[pa.RecordBatch]:
         fields, token, seen = FIELDS[self.kind], "0", set()
         while token is not None:
             if token in seen:
@@ -105,8 +122,13 @@ class MarketPages(DataSource):
         return "symbol string, " + ", ".join(f"{name} {kind}" for name, kind in FIELDS[self.options["kind"]].values())
 
     def reader(self, schema: Any) -> PageReader:
+        self.planned = True
         return PageReader({k.lower(): v for k, v in self.options.items()}, type(self).transport)
 
+    def __getstate__(self) -> dict[str, Any]:
+        """Once planned, the source goes to every task, without its list of symbols."""
+        return {**self.__dict__, "options": {"kind": self.options["kind"]}} if getattr(self, "planned", False) else self.__dict__
+
 
 def land_pages(rows: DataFrame, kind: str, root: str, start: str, day: str = "day", page_rows: int = 10_000, batch_symbols: int = BATCH_SYMBOLS, window_days: int = WINDOW_DAYS) -> list[str]:
     """Write rows (symbol, day, and the kind's payload fields) as pages, as a collector of a live service lands them; gives the symbols in order.
@@ -127,5 +149,6 @@ def land_pages(rows: DataFrame, kind: str, root: str, start: str, day: str = "da
     more = (F.col("page") + 1) * page_rows < F.col("in_window")
     body = F.to_json(F.struct(kind, F.when(more, (F.col("page") + 1).cast("string")).alias("next_page_token")), {"ignoreNullFields": "false"})
     out = pages.select(body.alias("value"), "batch", F.col("window").cast("string").alias("window"), "page").repartition("batch", "window", "page")
-    out.write.mode("append").partitionBy("batch", "window", "page").text(f"{root.rstrip('/')}/{kind}")
+    # Tasks put their own pages in place, the driver doesn't move all of them; a repeated task's page is the same page.
+    out.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("batch", "window", "page").text(f"{root.rstrip('/')}/{kind}")
     return symbols

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,23 @@ def test_partitions_are_batches_by_windows():
     assert PageReader({**OPTIONS, "end": "2024-01-01"}, None).partitions() == [] and PageReader({**OPTIONS, "symbols": ""}, None).partitions() == []
 
 
+def test_tasks_do_not_carry_all_symbols():
+    """A task's size doesn't follow the number of symbols, and very many requests are dealt to a bounded number of tasks."""
+    few, many = ("A,B", ",".join(f"S{i}" for i in range(60_000)))
+    sizes = []
+    for symbols in (few, many):
+        source = MarketPages({**OPTIONS, "symbols": symbols})
+        assert pickle.loads(pickle.dumps(source)).options["symbols"] == symbols
+        reader = source.reader(None)
+        parts = reader.partitions()
+        sizes.append(len(pickle.dumps((reader, source))))
+        asked = []
+        reader.transport = lambda root, kind, symbols, start, end, token: asked.append((tuple(symbols), start)) or {kind: {}}  # noqa: B023
+        assert [b for p in parts for b in reader.read(p)] == [] and len(parts) <= 1024
+        assert sorted({s for b, _ in asked for s in b}) == sorted(set(symbols.split(","))) and len(asked) == len(set(asked))
+    assert sizes[1] == sizes[0]
+
+
 def test_tokens_are_followed_and_odd_rows_are_left_out():
     pages = {"0": {"trades": {"a": [{"t": "x", "p": 1, "s": None}, "junk"], "b": None}, "next_page_token": "q"}, "q": {"trades": None, "next_page_token": "r"}, "r": {"trades": {"A": [{"p": "2.5"}]}}}
     asked = []
