@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def normalised_ranks(df: DataFrame, day: list[str], name: str, features: list[str]) -> DataFrame:
-    """Adds n (names of the day) and, per feature, (row number - 1) / (n - 1) with ties by name."""
-    by = Window.partitionBy(*day)
-    out = df.withColumn("n", F.count(F.lit(1)).over(by))
-    for f in features:
-        place = F.row_number().over(by.orderBy(F.col(f).asc_nulls_last(), F.col(name)))
-        out = out.withColumn(f"{f}_rank", (place - 1).cast("double") / F.nullif(F.col("n") - 1, F.lit(0)))
-    return out
+    """Adds n (names of the day) and, per feature, (row number - 1) / (n - 1) with ties by name.
+
+    A task ranks one feature of a day over narrow rows, so a day's rows are not sorted whole by one task once for each feature.
+    """
+    rows = written(df.withColumn("row_id", F.monotonically_increasing_id()), "unranked")
+    cells = rows.select("row_id", *day, F.col(name).alias("tie"), F.posexplode(F.array(*features)).alias("feature", "value"))
+    by = Window.partitionBy(*day, "feature")
+    place = F.row_number().over(by.orderBy(F.col("value").asc_nulls_last(), "tie")) - 1
+    ranked = cells.select("row_id", "feature", F.count(F.lit(1)).over(by).alias("n"), place.alias("place"))
+    rank = F.col("place").cast("double") / F.nullif(F.col("n") - 1, F.lit(0))
+    wide = ranked.groupBy("row_id").agg(F.max("n").alias("n"), *[F.max(F.when(F.col("feature") == i, rank)).alias(f"{f}_rank") for i, f in enumerate(features)])
+    return rows.join(wide, "row_id").drop("row_id")
 
 
 def rank_where(eligible: Column, day: list[str], *order: Column) -> Column:
