@@ -13,81 +13,134 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import map_arrow, without
+from .wordstore import WordStore, small_slices
 
 WORD = re.compile(r"\w+")
+WORD_OR_SPACE = re.compile(r"\w+| ")
 RUN = re.compile(r"[^\W\d_]+|\d+|[\W_]+")
 WORD_SPACE, SHAPE_SPACE, SHAPES = 1 << 20, 1 << 18, 1 << 9
+#: Tokens whose features a task keeps, and characters of the texts that it takes at a time.
+TOKENS, SLICE = 100_000, 1_000_000
 
 
-class TokenTable(dict):
-    """Numbers of the white-space tokens met so far and each one's features (an array)."""
+def word_features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each word of the tokens, and its first 3, 4 and 5 bytes, so that unseen endings still tell: features, flat, and the token each is of."""
+    parts = WORD_OR_SPACE.findall(" ".join(tokens).lower())
+    space = np.fromiter([p == " " for p in parts], bool, len(parts))
+    words = [p.encode("utf-8", "surrogatepass") for p in parts if p != " "]
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    found = np.array([list(map(crc32, words)), *([crc32(w[:k], k) for w in words] for k in (3, 4, 5))], np.uint32).T % WORD_SPACE
+    there = length[:, None] >= np.array([1, 3, 4, 5])
+    return found[there], np.repeat(np.cumsum(space)[~space], there.sum(axis=1))
 
-    def __init__(self, features: Callable[[str], np.ndarray], limit: int = 50_000):
-        super().__init__()
-        self.features, self.limit, self.rows = features, limit, []
 
-    def __missing__(self, token: str) -> int:
-        self[token] = n = len(self.rows)
-        self.rows.append(self.features(token))
-        return n
+def shape_of(token: str) -> str:
+    """The token's shape: letters by case, digits, and its other characters as they are."""
+    return "".join(("a" if run != run.upper() else "A") if run[0].isalpha() else "0" if run[0].isdigit() else run for run in RUN.findall(token))
 
-    def numbers(self, tokens: list[str]) -> np.ndarray:
-        if len(self.rows) > self.limit:
-            self.clear()
-            self.rows.clear()
-        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
+class Marks(dict):
+    """What each character is in a shape, by code; a character that counts by what stands before it (a number, but no digit) is RARE."""
 
-def word_features(token: str) -> list[int]:
-    """Each word of the token, and its first 3, 4 and 5 bytes, so that unseen endings still tell."""
-    out = []
-    for word in WORD.findall(token.lower()):
-        w = word.encode("utf-8", "surrogatepass")
-        out += [crc32(w) % WORD_SPACE, *(crc32(w[:k], k) % WORD_SPACE for k in (3, 4, 5) if len(w) >= k)]
-    return out
+    RARE = "\xb2"
 
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = mark = "0" if c.isdecimal() else c if not c.isalnum() else self.RARE if not c.isalpha() else "A" if c == c.upper() else "a"
+        return mark
 
-def shape_of(token: str) -> int:
-    """The token's shape as one number: letters by case, digits, and its other characters as they are."""
-    marks = (("a" if run != run.upper() else "A") if run[0].isalpha() else "0" if run[0].isdigit() else run for run in RUN.findall(token))
-    return 1 + crc32("".join(marks).encode("utf-8", "surrogatepass")) % (SHAPES - 1)
+
+MARKS = Marks()
+#: Runs of upper-case letters become one, then runs of letters, then runs of digits; each takes time in proportion.
+COLLAPSED = [(re.compile(r"AA+"), "A"), (re.compile(r"A?a[aA]*"), "a"), (re.compile(r"00+"), "0")]
+
+
+def shapes_of(tokens: list[str]) -> np.ndarray:
+    """The number of each token's shape: all tokens are cut to shapes at once."""
+    text = " ".join(tokens).translate(MARKS)
+    for run, mark in COLLAPSED:
+        text = run.sub(mark, text)
+    shapes = text.split(" ")
+    if Marks.RARE in text:
+        shapes = [shape_of(t) if Marks.RARE in s else s for t, s in zip(tokens, shapes, strict=True)]
+    return 1 + np.array([crc32(s.encode("utf-8", "surrogatepass")) for s in shapes], np.uint32) % (SHAPES - 1)
+
+
+def distinct(owner: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each owner's distinct features, ascending."""
+    keys = np.sort(owner << 32 | feature)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+    return keys >> 32, keys & 0xFFFFFFFF
 
 
 class WordIndicators:
-    """Which words and word beginnings a text has."""
+    """Which words and word beginnings a text has; those that used has as False are left out."""
 
     size = WORD_SPACE
 
-    def __init__(self):
-        self.table = TokenTable(lambda token: np.array(word_features(token), np.int64))
+    def __init__(self, used: np.ndarray | None = None):
+        self.used, self.store = used, WordStore(self.of_tokens, TOKENS)
+
+    def of_tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What the store keeps of white-space tokens: ids, flat, and how many each token has."""
+        found, token = self.kept(*word_features(tokens))
+        return found, np.bincount(token, minlength=len(tokens))
+
+    def kept(self, feature: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.used is None:
+            return feature, owner
+        used = self.used[feature]
+        return feature[used], owner[used]
+
+    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all texts as the store's numbers, and the text each is of."""
+        tokens = [(t or "").split() for t in texts]
+        return self.store.numbers([w for own in tokens for w in own]), np.repeat(np.arange(len(texts)), list(map(len, tokens)))
+
+    def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's distinct features, ascending, flat; and the text each is of."""
+        owner, token = distinct(*self.numbers(texts)[::-1])
+        return distinct(np.repeat(owner, self.store.counts[token]), self.store.gather(token))[::-1]
+
+    def each(self, texts: list[str | None]) -> list[np.ndarray]:
+        found, owner = self.of_texts(texts)
+        return np.split(found, np.searchsorted(owner, np.arange(1, len(texts))))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        numbers = np.unique(self.table.numbers((text or "").split()))
-        return np.unique(np.concatenate([np.empty(0, np.int64), *(self.table.rows[i] for i in numbers)]))
+        return self.of_texts([text])[0]
 
 
-class ShapeNgrams:
+class ShapeNgrams(WordIndicators):
     """Which n-grams (1 to 3) of token shapes a text has, a token that repeats the last one being a shape of its own, and which words."""
 
     size = SHAPE_SPACE + WORD_SPACE
 
-    def __init__(self):
-        self.table = TokenTable(lambda token: np.array([shape_of(token), *word_features(token)], np.int64))
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        numbers = self.table.numbers((text or "").split())
-        if not len(numbers):
-            return np.empty(0, np.int64)
-        kinds, which = np.unique(numbers, return_inverse=True)
-        rows = [self.table.rows[i] for i in kinds]
-        shape = np.array([r[0] for r in rows], np.int64)[which]
-        shape[1:][numbers[1:] == numbers[:-1]] = 0
-        grams = [shape]
-        for n in (2, 3):
-            grams.append((grams[-1][:-1] * SHAPES + shape[n - 1 :]) if len(grams[-1]) > 1 else shape[:0])
-        flat = np.unique(np.concatenate([g * 3 + i for i, g in enumerate(grams)]))
-        words = np.unique(np.concatenate([r[1:] for r in rows]))
-        return np.concatenate((np.unique((flat * 0x9E3779B1 >> 7) % SHAPE_SPACE), SHAPE_SPACE + words))
+    def of_tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A token's first id is its shape, the others are features."""
+        words, token = word_features(tokens)
+        found, token = self.kept(SHAPE_SPACE + words, token)
+        return np.insert(found, np.searchsorted(token, np.arange(len(tokens))), shapes_of(tokens)), 1 + np.bincount(token, minlength=len(tokens))
+
+    def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        numbers, owner = self.numbers(texts)
+        shape = self.store.ids[self.store.starts[numbers]].astype(np.int64)
+        same = owner[1:] == owner[:-1]
+        shape[1:][same & (numbers[1:] == numbers[:-1])] = 0
+        found = []
+        gram, at = shape, np.arange(len(shape))  # at: where a gram begins
+        for n in range(3):
+            if n:
+                inside = at + n < len(shape)
+                gram, at = gram[inside], at[inside]
+                inside = owner[at + n] == owner[at]
+                gram, at = gram[inside] * SHAPES + shape[at[inside] + n], at[inside]
+            found.append(self.kept(((gram * 3 + n) * 0x9E3779B1 >> 7) % SHAPE_SPACE, owner[at]))
+        text, token = distinct(owner, numbers)
+        counts = self.store.counts[token]
+        words = np.delete(self.store.gather(token), np.cumsum(counts) - counts)
+        found.append((words, np.repeat(text, counts - 1)))
+        features, owners = (np.concatenate(x) for x in zip(*found, strict=True))
+        return distinct(owners, features)[::-1]
 
 
 def fold(id_col: Column, folds: int) -> Column:
@@ -127,11 +180,13 @@ def collected(sample: DataFrame, kind: type, pairs: Callable[[str], list[tuple[s
         features = kind()
         encode = lambda found: found.astype("<i4").tobytes()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            own = [features(t) for t in texts]
-            others = [[encode(part) for a, b in pairs(t or "") for part in change(features(a), features(b))] if pairs else [] for t in texts]
-            columns = [batch.column("__id"), batch.column("y"), pa.array(list(map(encode, own)), pa.binary()), pa.array(others, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "x", "others"])
+            for piece, texts in small_slices(batch, "text", SLICE):
+                compared = [pairs(t) if pairs else [] for t in texts]
+                every = list(dict.fromkeys([*texts, *(t for own in compared for pair in own for t in pair)]))
+                found = dict(zip(every, features.each(every), strict=True))
+                others = [[encode(part) for a, b in own for part in change(found[a], found[b])] for own in compared]
+                columns = [piece.column("__id"), piece.column("y"), pa.array([encode(found[t]) for t in texts], pa.binary()), pa.array(others, pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "x", "others"])
 
     id_type = sample.schema["__id"].dataType.simpleString()
     rows = sorted(sample.mapInArrow(extract, f"id {id_type}, y int, x binary, others array<binary>").collect(), key=lambda r: (r["id"], bytes(r["x"])))
@@ -190,11 +245,12 @@ def score(docs: DataFrame, kind: type, weights: dict[int, float], bias: float, s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(kind.size)
         table[keys] = values
-        features = kind()
+        features = kind(table != 0)
         for batch in batches:
-            margins = np.array([table[features(t.as_py())].sum() for t in batch.column(text_col)])
-            found = sigmoid(scale * margins + bias)
-            columns = [pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+            for piece, texts in small_slices(batch, text_col, SLICE):
+                feature, owner = features.of_texts(texts)
+                found = sigmoid(scale * np.bincount(owner, table[feature], len(texts)) + bias)
+                columns = [pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*piece.columns, *columns], names=[*piece.schema.names, *names])
 
     return map_arrow(plain, run, schema)

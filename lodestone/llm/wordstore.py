@@ -33,8 +33,8 @@ class WordStore:
         self.ids, self.counts, self.hits = self.gather(kept), self.counts[kept], np.zeros(len(kept), np.int64)
         self.starts = np.cumsum(self.counts) - self.counts
 
-    def flat(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces, flat, and how many each has."""
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """A number for each piece, the same for equal pieces, that holds until the next call."""
         if len(self.at) > self.limit:
             self._shrink()
         new = list(set(pieces).difference(self.at))
@@ -46,6 +46,11 @@ class WordStore:
             self.hits = np.append(self.hits, np.zeros(len(new), np.int64))
         which = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
         self.hits += np.bincount(which, minlength=len(self.hits))
+        return which
+
+    def flat(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, flat, and how many each has."""
+        which = self.numbers(pieces)
         return self.gather(which), self.counts[which]
 
     def texts(self, pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
