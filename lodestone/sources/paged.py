@@ -4,9 +4,10 @@ spark.read.format("market_pages").option("kind", "bars").option("root", ...).opt
 
 A task sees the symbols of its own requests alone. A partition asks for its first page and then for each page that the last one names, so a reader holds one page at a time, and a
 lost executor repeats its own batch and window alone. Pages come from a transport: a function of (root, kind, symbols, start, end, token) that
-gives a page, the JSON object {kind: {symbol: [row, ...]}, "next_page_token": token or null}. The transport at hand reads landed
-pages from any file system that Arrow reaches (root/kind/batch=<key>/window=<start>/page=<token>/); a client of a live service takes its place by
-registering a source with another one.
+gives a page, the JSON object {kind: {symbol: [row, ...]}, "next_page_token": token or null}. The transports at hand read landed
+pages from any file system that Arrow reaches: market_pages those with a folder of their own (root/kind/batch=<key>/window=<start>/page=<token>/),
+market_packs those of many batches in one Parquet file (root/kind/pack=<first digits of the batch's key>/), which very many pages need. A client
+of a live service takes their place by registering a source with another one.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 BATCH_SYMBOLS, WINDOW_DAYS = 20, 7
 #: Requests beyond which a task takes several of them, one after the other.
 MOST_TASKS = 256
+#: First digits of a batch's key that name its pack, and bytes of a pack's row group, the part of it that a reader holds.
+PACK_DIGITS, GROUP_BYTES = 2, 4 << 20
 #: Each kind's columns by the payload's field, with their types.
 FIELDS = {
     "bars": {"t": ("ts", "string"), "o": ("open", "double"), "h": ("high", "double"), "l": ("low", "double"), "c": ("close", "double"), "v": ("volume", "double"), "n": ("trade_count", "bigint"), "vw": ("vwap", "double")},
@@ -57,6 +60,52 @@ def landed_page(root: str, kind: str, symbols: list[str], start: str, end: str,
     return {kind: {}, "next_page_token": None}
 
 
+class PackedPage:
+    """The transport of packs: finds a page by the ranges of the row groups, and keeps the group it read last.
+
+    Groups are in the order in which a task asks, so each is read once. What it keeps doesn't outlive the task.
+    """
+
+    def __init__(self) -> None:
+        self.pack, self.groups, self.held, self.pages = None, [], -1, {}
+
+    def __reduce__(self) -> tuple[Any, ...]:
+        return type(self), ()
+
+    def open(self, root: str, kind: str, pack: str) -> None:
+        from pyarrow import fs
+        from pyarrow import parquet as pq
+
+        store, path = fs.FileSystem.from_uri(root)
+        where = fs.FileSelector(f"{path.rstrip('/')}/{kind}/pack={pack}", allow_not_found=True)
+        self.pack, self.groups, self.held, self.pages = (root, kind, pack), [], -1, {}
+        for f in store.get_file_info(where):
+            if f.is_file and not f.base_name.startswith(("_", ".")):
+                file = pq.ParquetFile(store.open_input_file(f.path))
+                ranges = [file.metadata.row_group(i).column(0).statistics for i in range(file.num_row_groups)]
+                self.groups += [(file, i, r.min, r.max) for i, r in enumerate(ranges)]
+
+    def __call__(self, root: str, kind: str, symbols: list[str], start: str, end: str, token: str) -> dict[str, Any]:
+        key = batch_key(symbols)
+        if self.pack != (root, kind, key[:PACK_DIGITS]):
+            self.open(root, kind, key[:PACK_DIGITS])
+        request = f"{key}/{start}"
+        if (request, token) not in self.pages:
+            after = self.held + 1
+            for n in (*range(after, len(self.groups)), *range(after - 1)):
+                file, i, least, most = self.groups[n]
+                if least <= request <= most:
+                    rows = file.read_row_group(i).to_pydict()
+                    self.held, self.pages = n, dict(zip(zip(rows["request"], map(str, rows["page"]), strict=True), rows["value"], strict=True))
+                    if (request, token) in self.pages:
+                        break
+        if (request, token) in self.pages:
+            return json.loads(self.pages[request, token])
+        if token != "0":
+            raise FileNotFoundError(f"page {token} of {kind} in {root} is named but has not landed")
+        return {kind: {}, "next_page_token": None}
+
+
 @dataclass
 class Request(InputPartition):
     symbols: list[str]
@@ -86,6 +135,8 @@ class PageReader(DataSourceReader):
         batches = [self.symbols[i : i + self.size] for i in range(0, len(self.symbols), self.size)]
         requests = [Request(b, s.isoformat(), min(s + timedelta(days=self.days), self.end).isoformat()) for b in batches for s in starts]
         each = -(-len(requests) // MOST_TASKS)
+        if each > 1:  # by key, as packs are, so that a task reads few of them
+            requests.sort(key=lambda r: (batch_key(r.symbols), r.start))
         return requests if each <= 1 else [Requests(requests[i : i + each]) for i in range(0, len(requests), each)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
@@ -130,10 +181,20 @@ class MarketPages(DataSource):
         return {**self.__dict__, "options": {"kind": self.options["kind"]}} if getattr(self, "planned", False) else self.__dict__
 
 
-def land_pages(rows: DataFrame, kind: str, root: str, start: str, day: str = "day", page_rows: int = 10_000, batch_symbols: int = BATCH_SYMBOLS, window_days: int = WINDOW_DAYS) -> list[str]:
+class MarketPacks(MarketPages):
+    """The source market_packs; options as market_pages."""
+
+    transport = PackedPage()
+
+    @classmethod
+    def name(cls) -> str:
+        return "market_packs"
+
+
+def land_pages(rows: DataFrame, kind: str, root: str, start: str, day: str = "day", page_rows: int = 10_000, batch_symbols: int = BATCH_SYMBOLS, window_days: int = WINDOW_DAYS, packed: bool = False) -> list[str]:
     """Write rows (symbol, day, and the kind's payload fields) as pages, as a collector of a live service lands them; gives the symbols in order.
 
-    One file a page; batches and windows are as the reader forms them.
+    One file a page, or packed; batches and windows are as the reader forms them.
     """
     symbols = [r[0] for r in rows.select("symbol").distinct().orderBy("symbol").collect()]
     keys = {s: batch_key(symbols[i - i % batch_symbols : i - i % batch_symbols + batch_symbols]) for i, s in enumerate(symbols)}
@@ -148,7 +209,12 @@ def land_pages(rows: DataFrame, kind: str, root: str, start: str, day: str = "da
     pages = of_symbol.groupBy("batch", "window", "page", "in_window").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "rows"))).alias(kind))
     more = (F.col("page") + 1) * page_rows < F.col("in_window")
     body = F.to_json(F.struct(kind, F.when(more, (F.col("page") + 1).cast("string")).alias("next_page_token")), {"ignoreNullFields": "false"})
-    out = pages.select(body.alias("value"), "batch", F.col("window").cast("string").alias("window"), "page").repartition("batch", "window", "page")
+    out = pages.select(body.alias("value"), "batch", F.col("window").cast("string").alias("window"), "page")
+    if packed:
+        packs = out.select(F.concat_ws("/", "batch", "window").alias("request"), "page", "value", F.substring("batch", 1, PACK_DIGITS).alias("pack")).repartition("pack").sortWithinPartitions("pack", "request", "page")
+        packs.write.mode("append").option("parquet.block.size", GROUP_BYTES).partitionBy("pack").parquet(f"{root.rstrip('/')}/{kind}")
+        return symbols
+    out = out.repartition("batch", "window", "page")
     # Tasks put their own pages in place, the driver doesn't move all of them; a repeated task's page is the same page.
     out.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("batch", "window", "page").text(f"{root.rstrip('/')}/{kind}")
     return symbols

@@ -1,13 +1,18 @@
 """The paged source: partitions, tokens, odd payloads; streams against their batch rules."""
 
 import datetime as dt
+import glob
 import json
 import pickle
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.plans.feeds import _read
 from lodestone.plans.streams import d4_appended_bars, q39_completed_minutes, q41_tracked_batch, q41_tracked_stream
+from lodestone.session import shared_folder
+from lodestone.sources import paged
 from lodestone.sources.paged import MarketPages, PageReader, batch_key, land_pages
 from lodestone.streaming.tracking import feed, run_step, tracked, tracked_batch
 
@@ -69,6 +74,39 @@ def test_landed_pages_round_trip(spark, tmp_path):
         spark.read.format("market_pages").options(root=root, kind="trades", symbols="A,B,C", start="2024-01-01", end="2024-01-10", batchSymbols="2").load().collect()
 
 
+def test_landed_files_do_not_follow_the_pages(spark):
+    """Pages of three batches and six windows, several in each: no more files than batches, and all rows come back."""
+    rows = [(f"S{i:02}", dt.date(2024, 1, 1 + 7 * w // 2), f"2024-01-{1 + 7 * w // 2:02}T10:00:0{k}Z", float(k), float(i)) for i in range(50) for w in range(8) for k in range(7)]
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(glob.glob(f"{folder}/pages-*"))
+    read = _read(spark, spark.createDataFrame(rows, "symbol string, day date, t string, p double, s double"), "trades")
+    assert sorted(tuple(r) for r in read.collect()) == sorted((s, t, p, z) for s, _, t, p, z in rows)
+    (root,) = set(glob.glob(f"{folder}/pages-*")) - before
+    assert len(glob.glob(f"{root}/**/part-*", recursive=True)) <= 3
+
+
+def test_packs_of_several_groups(spark, tmp_path, monkeypatch):
+    """A page is found in whichever group of its pack it is; a reader holds one group; what did not land is empty, a named page that did not is an error."""
+    monkeypatch.setattr(paged, "GROUP_BYTES", 1)
+    rows = [(s, dt.date(2024, 1, 1 + d), f"2024-01-{1 + d:02}T10:00:00.{k:03}Z", float(k), None) for s in ("A", "B") for d in range(20) for k in range(25)]
+    root = f"file://{tmp_path}/packs"
+    land_pages(spark.createDataFrame(rows, "symbol string, day date, t string, p double, s double"), "trades", root, "2024-01-01", page_rows=2, packed=True)
+    (file,) = glob.glob(f"{tmp_path}/packs/trades/pack={batch_key(['A', 'B'])[:2]}/part-*")
+    groups = pq.ParquetFile(file).metadata.num_row_groups
+    assert groups > 2
+    spark.dataSource.register(paged.MarketPacks)
+    options = {"root": root, "kind": "trades", "symbols": "A,B", "start": "2024-01-01", "end": "2024-02-28"}
+    read = spark.read.format("market_packs").options(**options).load()
+    assert sorted((r["symbol"], r["ts"], r["price"], r["size"]) for r in read.collect()) == sorted((s, t, p, None) for s, _, t, p, _ in rows)
+    opened, real = [], pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda self, i: opened.append(i) or real(self, i))
+    reader = PageReader(options, paged.PackedPage())
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == len(rows) and opened == list(range(groups))
+    with pytest.raises(FileNotFoundError, match="has not landed"):
+        paged.PackedPage()(root, "trades", ["A", "B"], "2024-01-01", "2024-01-08", "999")
+    assert paged.PackedPage()(root, "trades", ["X"], "2024-01-01", "2024-01-08", "0") == {"trades": {}, "next_page_token": None}
+
+
 @pytest.fixture(scope="module")
 def little(spark, tmp_path_factory):
     """Events of four days: few ticks, so that checkpoints are missed too."""
