@@ -75,7 +75,7 @@ def test_landed_pages_round_trip(spark, tmp_path):
 
 
 def test_landed_files_do_not_follow_the_pages(spark):
-    """Pages of three batches and six windows, several in each: no more files than batches, and all rows come back."""
+    """Pages of three batches and four windows, several in most: no more files than batches, and all rows come back."""
     rows = [(f"S{i:02}", dt.date(2024, 1, 1 + 7 * w // 2), f"2024-01-{1 + 7 * w // 2:02}T10:00:0{k}Z", float(k), float(i)) for i in range(50) for w in range(8) for k in range(7)]
     folder = shared_folder(spark).removeprefix("file://")
     before = set(glob.glob(f"{folder}/pages-*"))
